@@ -1,0 +1 @@
+"""Intentionally empty: the forecast is defined on daily snapshots and has no streaming operator."""
