@@ -49,12 +49,12 @@ def _with_doubles(df: DataFrame) -> DataFrame:
     )
 
 
-def _rounded(df: DataFrame, *keep: str) -> DataFrame:
-    """Doubles that depend on summation order, to six places."""
+def _rounded(df: DataFrame) -> DataFrame:
+    """Doubles that depend on summation order: money to the cent, all else to six places."""
     return df.select(
         *[
-            F.round(F.col(f.name), 6).alias(f.name)
-            if f.dataType.typeName() == "double" and f.name not in keep
+            F.round(F.col(f.name), 2 if f.name in schemas.MONEY_COLUMNS else 6).alias(f.name)
+            if f.dataType.typeName() == "double"
             else F.col(f.name)
             for f in df.schema
         ]

@@ -102,6 +102,8 @@ FEATURE_COLUMNS = (
     KEY_COLUMNS + ("quota",) + STAGE_COLUMNS + ("bookings_qtd", "direct_bookings", "qtr_pct") + RATIO_COLUMNS
 )
 
+MONEY_COLUMNS = ("quota", *STAGE_AMOUNTS, "bookings_qtd", "direct_bookings")
+
 # Everything numeric: what the four-quarter mean and the correlation matrix run over.
 MEASURE_COLUMNS = tuple(c for c in FEATURE_COLUMNS if c not in ("dt", "fy_quarter", "sales_div"))
 
