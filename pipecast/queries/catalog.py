@@ -50,10 +50,10 @@ def _with_doubles(df: DataFrame) -> DataFrame:
 
 
 def _rounded(df: DataFrame) -> DataFrame:
-    """Doubles that depend on summation order: money to the cent, all else to six places."""
+    """Doubles that depend on summation order, without their last digits."""
     return df.select(
         *[
-            F.round(F.col(f.name), 2 if f.name in schemas.MONEY_COLUMNS else 6).alias(f.name)
+            F.round(F.col(f.name), 4 if f.name in schemas.MONEY_COLUMNS else 6).alias(f.name)
             if f.dataType.typeName() == "double"
             else F.col(f.name)
             for f in df.schema

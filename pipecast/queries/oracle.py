@@ -280,7 +280,7 @@ _RUNNING = "dt >= (SELECT qtr_start FROM running)"
 _TRAIN = _features(_PAST)
 _TEST = _features(f"{_RUNNING} AND dt <= (SELECT day FROM latest)")
 _AVERAGES = ", ".join(
-    f"round(avg({c}), {2 if c in schemas.MONEY_COLUMNS else 6}) AS {c}" for c in schemas.MEASURE_COLUMNS
+    f"round(avg({c}), {4 if c in schemas.MONEY_COLUMNS else 6}) AS {c}" for c in schemas.MEASURE_COLUMNS
 )
 _SLICES = {
     "train": _TRAIN,

@@ -63,27 +63,41 @@ def _fill_cores(df: DataFrame, scan: DataFrame) -> DataFrame:
 
 
 def opportunity_history(tables: OrderTables) -> DataFrame:
-    """One row per order and day of its life, walking through the five stages."""
+    """One row per order and day of its life, walking through the five stages.
+
+    Whatever does not change from day to day is computed ahead of the explode.
+    """
     stages = ", ".join(f"'{stage}'" for stage in STAGES)
-    days = (
-        _fill_cores(tables.orders(), tables.read("orders"))
-        .withColumn("life", F.expr(_LIFE).cast("int"))
-        .withColumn("k", F.explode(F.expr("sequence(0, life - 1)")))
-    )
-    rows = days.selectExpr(
+    orders = tables.orders().selectExpr(
+        "o_orderkey",
         f"if(o_orderkey = 1, '{EXCLUDED_OPPORTUNITY_IDS[0]}', cast(o_orderkey as string)) as id",
-        "date_add(od, k) as dt",
-        f"element_at(array({stages}), cast(k * 5 div life as int) + 1) as stagename",
+        "od",
+        f"cast({_LIFE} as int) as life",
         "if(o_orderkey % 97 = 0, 0, cast(o_totalprice as decimal(18, 2))) as amount",
         "element_at(array(null, 'USD', 'EUR', 'GBP'), cast(o_orderkey % 4 as int) + 1) as currencyisocode",
         "cast(o_custkey as string) as accountid",
         "if(o_orderkey % 7 = 0, null, cast(od as timestamp)) as lastactivitydate",
+        "o_orderkey % 50 = 0 as isdeleted",
+        "o_orderstatus = 'F' as finished",
+        "n_name as owner_division__c",
+    )
+    days = _fill_cores(orders, tables.read("orders")).withColumn(
+        "k", F.explode(F.expr("sequence(0, life - 1)"))
+    )
+    rows = days.selectExpr(
+        "id",
+        "date_add(od, k) as dt",
+        f"element_at(array({stages}), cast(k * 5 div life as int) + 1) as stagename",
+        "amount",
+        "currencyisocode",
+        "accountid",
+        "lastactivitydate",
         "cast(if(o_orderkey % 3 = 0, od, date_add(od, cast(k div 60 * 60 as int))) as timestamp)"
         " as lastmodifieddate",
-        "o_orderkey % 50 = 0 as isdeleted",
-        "o_orderstatus = 'F' and k * 4 >= life * 3 as isclosed",
+        "isdeleted",
+        "finished and k * 4 >= life * 3 as isclosed",
         "date_add(od, life) as closedate",
-        "n_name as owner_division__c",
+        "owner_division__c",
     )
     return conform(rows, schemas.OPPORTUNITY_HISTORY)
 
