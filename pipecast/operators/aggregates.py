@@ -179,12 +179,23 @@ def four_quarter_average(features: DataFrame) -> DataFrame:
 def correlation_matrix(df: DataFrame, columns: tuple[str, ...] = MEASURE_COLUMNS) -> DataFrame:
     """Pearson correlation of every column pair as (col_a, col_b, r), skipping NULLs pair by pair.
 
-    Each row is viewed once per column ``a``; grouping by its name needs no more
-    than one group per column, so only (columns x columns) partial sums per task
-    are shuffled.
+    Every row contributes to each pair of columns once, in the map-side aggregation;
+    what is shuffled is one partial result per pair and task, whatever the number of
+    rows.
     """
-    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    entries = F.array(*[F.struct(F.lit(c).alias("col_a"), F.col(c).alias("value_a")) for c in columns])
-    by_column = doubles.select(F.inline(entries), *columns).groupBy("col_a")
-    wide = by_column.agg(*[F.corr("value_a", c).alias(c) for c in columns])
-    return wide.unpivot("col_a", list(columns), "col_b", "r")
+    values = df.select(F.array(*[F.col(c).cast("double") for c in columns]).alias("all_values"))
+    pairs = (
+        values.select("all_values", F.posexplode("all_values").alias("a", "value_a"))
+        .select("a", "value_a", F.posexplode("all_values").alias("b", "value_b"))
+        .where("a <= b")
+    )
+    upper = pairs.groupBy("a", "b").agg(F.corr("value_a", "value_b").alias("r"))
+    names = F.array(*[F.lit(c) for c in columns])
+    a, b = F.get(names, F.col("a")), F.get(names, F.col("b"))
+    both_ways = F.array_distinct(
+        F.array(
+            F.struct(a.alias("col_a"), b.alias("col_b")),
+            F.struct(b.alias("col_a"), a.alias("col_b")),
+        )
+    )
+    return upper.select(F.inline(both_ways), "r").select("col_a", "col_b", "r")
