@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from datetime import date
 
@@ -10,19 +9,25 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see, as named by ``spark.checkpoint.dir``.
+    """The folder that the driver and all executors see.
 
-    Where that is unset, as in tests on one machine, a temporary folder is made
-    and set as the checkpoint directory.
+    ``spark.checkpoint.dir`` names it; where that is unset, it lies below the
+    warehouse. Raises ValueError if executors run on other machines and the
+    path is on the driver's own disk.
     """
     context = spark.sparkContext
     configured = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="pipecast-")
-        context.setCheckpointDir(configured)
-    elif context.getCheckpointDir() is None:
-        context.setCheckpointDir(configured)
-    return configured
+    folder = configured or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_pipecast"
+    if not configured and not context.master.startswith("local") and _is_local_path(folder):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
+    return folder
+
+
+def _is_local_path(path: str) -> bool:
+    scheme = path.split("://")[0] if "://" in path else path.split(":", 1)[0] if ":/" in path else ""
+    return scheme in ("", "file")
 
 
 def run_folder(spark: SparkSession, name: str) -> str:
