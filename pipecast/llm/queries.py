@@ -7,11 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pipecast.llm.exact_dedup import exact_duplicates
+from pipecast.llm.language_id import fit_centroids, identify, training_rows
+from pipecast.llm.mixing import mix
 from pipecast.llm.store import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(read(spark, sf_dir, "documents")).drop("copies", "source")
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return identify(docs, fit_centroids(training_rows(docs)))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(read(spark, sf_dir, "documents"))
 
@@ -30,6 +41,8 @@ FROM texts JOIN classes USING (content)
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_source_mix": op2_source_mix,
+        "op7_language_id": op7_language_id,
         "op9_exact_dedup": op9_exact_dedup,
     }
 
