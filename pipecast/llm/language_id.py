@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pipecast.llm.store import fold, keep
+from pipecast.llm.store import fold
 from pipecast.llm.words import portions
 
 DIMS = 1 << 13

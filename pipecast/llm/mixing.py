@@ -5,8 +5,8 @@ source's documents: the whole part is taken for sure, the fraction is an inclusi
 probability. The flight phase moves three probabilities at a time along the null space of
 the two constraints (documents, words), so both totals of the source keep their value, until
 at most two probabilities of a block are fractions. Those left over form the next round's
-blocks. When a source is down to one block, its last two are landed on the choice that
-brings its words closest to the target.
+blocks. When a source is down to one block, a few documents of all sizes stay out of the
+flight and are landed with its last two, on the choice that brings words and documents closest.
 
 Blocks are shares of a source by the hash of doc_id, so a source with a third of all rows is
 spread like any other. All draws come from hashes: reruns agree.
@@ -38,6 +38,11 @@ BLOCK_ROWS = 5_000
 # Up to so many sources, the table of targets is sent to every task.
 BROADCAST_SOURCES = 20_000
 
+# Documents of a source's last block that are left to the landing, and what a document too many
+# or too few costs there, in mean documents.
+LANDING_UNITS = 14
+DOCUMENT_COST = 0.02
+
 _EPS = 1e-9
 
 
@@ -90,7 +95,7 @@ def flight(p: np.ndarray, size: np.ndarray, draws: np.ndarray) -> np.ndarray:
     so that every unit keeps its probability on average.
     """
     p = p.astype(float).copy()
-    scale = float(size.max()) or 1.0
+    scale = float(size.max(initial=0)) or 1.0
     s = size.astype(float) / scale
     open_units: list[int] = []
     for k in range(len(p)):
@@ -123,27 +128,35 @@ def flight(p: np.ndarray, size: np.ndarray, draws: np.ndarray) -> np.ndarray:
 
 
 def land(p: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Round the last fractions so that the words come closest to their expected total."""
+    """Round the last fractions so that the words, and then the documents, come closest to their expected totals.
+
+    All choices of at most LANDING_UNITS + 2 units are compared.
+    """
     p = p.copy()
     left = np.flatnonzero((p > 0) & (p < 1))
-    goal = float((p[left] * size[left]).sum())
-    choices = range(1 << len(left))
-    bits = lambda c: np.array([(c >> b) & 1 for b in range(len(left))], float)
-    best = min(choices, key=lambda c: (abs(float((bits(c) * size[left]).sum()) - goal), c))
-    p[left] = bits(best)
+    if not len(left):
+        return p
+    choices = (np.arange(1 << len(left))[:, None] >> np.arange(len(left))) & 1
+    words = np.abs(choices @ size[left] - (p[left] * size[left]).sum())
+    documents = np.abs(choices.sum(axis=1) - p[left].sum())
+    p[left] = choices[np.argmin(words + DOCUMENT_COST * size[left].mean() * documents)]
     return p
 
 
 def _block(frame: pd.DataFrame) -> pd.DataFrame:
-    """Fly one block; land it if it is its source's last."""
-    # Large documents fly first, so that what is left to land is small.
-    frame = frame.sort_values(["size", "draw", "doc_id"], ascending=False, kind="stable").reset_index(drop=True)
-    size = frame["size"].to_numpy(np.int64)
+    """Fly one block. In a source's last block some units of all sizes stay for the landing."""
+    frame = frame.sort_values(["draw", "doc_id", "size", "p"], kind="stable").reset_index(drop=True)
+    size, p = frame["size"].to_numpy(np.int64), frame["p"].to_numpy(float)
     draws = (spread(frame["draw"].to_numpy(np.int64).view(np.uint64)) >> np.uint64(11)) / float(1 << 53)
-    p = flight(frame["p"].to_numpy(float), size, draws)
-    if frame["blocks"].iloc[0] <= 1:
-        p = land(p, size)
-    return frame.assign(p=p)
+    last = frame["blocks"].iloc[0] <= 1
+    flying = np.ones(len(p), bool)
+    if last:
+        open_units = np.flatnonzero((p > _EPS) & (p < 1 - _EPS) & (size > 0))
+        by_size = open_units[np.argsort(size[open_units], kind="stable")]
+        ranks = np.unique(np.linspace(0, len(by_size) - 1, LANDING_UNITS).astype(int)) if len(by_size) else []
+        flying[by_size[ranks]] = False
+    p[flying] = flight(p[flying], size[flying], draws[flying])
+    return frame.assign(p=land(p, size) if last else p)
 
 
 def mix(

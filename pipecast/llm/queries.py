@@ -8,8 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pipecast.llm.exact_dedup import exact_duplicates
 from pipecast.llm.language_id import fit_centroids, identify, training_rows
+from pipecast.llm.lattice import lattice_scores
 from pipecast.llm.mixing import mix
+from pipecast.llm.pieces import round_trip
 from pipecast.llm.store import read
+from pipecast.llm.toxicity import fit_toxicity, toxicity
+from pipecast.llm.vocabulary import load_vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +22,19 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(read(spark, sf_dir, "documents")).drop("copies", "source")
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(read(spark, sf_dir, "documents"), load_vocabulary())
+
+
+def op5_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_scores(read(spark, sf_dir, "documents"), load_vocabulary())
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return toxicity(docs, fit_toxicity(docs, read(spark, sf_dir, "labels")))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return identify(docs, fit_centroids(training_rows(docs)))
@@ -42,6 +59,9 @@ FROM texts JOIN classes USING (content)
 def queries() -> dict[str, Query]:
     return {
         "op2_source_mix": op2_source_mix,
+        "op3_sentencepiece": op3_sentencepiece,
+        "op5_lattice_lm": op5_lattice_lm,
+        "op6_toxicity": op6_toxicity,
         "op7_language_id": op7_language_id,
         "op9_exact_dedup": op9_exact_dedup,
     }
