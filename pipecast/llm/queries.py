@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pipecast.llm.exact_dedup import exact_duplicates
+from pipecast.llm.fingerprints import document_fingerprints
 from pipecast.llm.language_id import fit_centroids, identify, training_rows
 from pipecast.llm.lattice import lattice_scores
 from pipecast.llm.mixing import mix
@@ -26,6 +27,10 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(read(spark, sf_dir, "documents"), load_vocabulary())
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_fingerprints(read(spark, sf_dir, "documents"))
+
+
 def op5_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_scores(read(spark, sf_dir, "documents"), load_vocabulary())
 
@@ -60,6 +65,7 @@ def queries() -> dict[str, Query]:
     return {
         "op2_source_mix": op2_source_mix,
         "op3_sentencepiece": op3_sentencepiece,
+        "op4_fingerprints": op4_fingerprints,
         "op5_lattice_lm": op5_lattice_lm,
         "op6_toxicity": op6_toxicity,
         "op7_language_id": op7_language_id,
