@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pipecast.llm.chat import format_chats
 from pipecast.llm.exact_dedup import exact_duplicates
 from pipecast.llm.fingerprints import document_fingerprints
 from pipecast.llm.language_id import fit_centroids, identify, training_rows
@@ -49,6 +50,30 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_chats(read(spark, sf_dir, "conversations"))
+
+
+OP10_SQL = r"""
+WITH turns AS (
+  SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL
+), whole AS (
+  SELECT conv_id, count(*) AS n_turns, list({'r': role, 't': text} ORDER BY turn NULLS FIRST, role, text) AS turns,
+         string_agg('<|im_start|>' || coalesce(role, 'unknown') || chr(10)
+                    || replace(coalesce(text, ''), '<|im_', '<| im_') || '<|im_end|>' || chr(10),
+                    '' ORDER BY turn NULLS FIRST, role, text) AS chat
+  FROM turns GROUP BY conv_id
+), firsts AS (
+  SELECT turns, min(conv_id) AS conv_id FROM whole GROUP BY turns
+), continued AS (
+  SELECT DISTINCT turns[1:k] AS turns FROM (SELECT turns, unnest(range(1, n_turns)) AS k FROM whole)
+)
+SELECT w.conv_id, n_turns, f.conv_id IS NOT NULL AS kept, CASE WHEN f.conv_id IS NOT NULL THEN chat END AS chat
+FROM whole w LEFT JOIN (
+  SELECT conv_id FROM firsts WHERE NOT EXISTS (SELECT 1 FROM continued c WHERE c.turns = firsts.turns)
+) f ON f.conv_id = w.conv_id
+"""
+
 OP9_SQL = r"""
 WITH texts AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS content
@@ -70,10 +95,12 @@ def queries() -> dict[str, Query]:
         "op6_toxicity": op6_toxicity,
         "op7_language_id": op7_language_id,
         "op9_exact_dedup": op9_exact_dedup,
+        "op10_chat_format": op10_chat_format,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op9_exact_dedup": OP9_SQL,
+        "op10_chat_format": OP10_SQL,
     }
