@@ -12,6 +12,7 @@ from pipecast.llm.fingerprints import document_fingerprints
 from pipecast.llm.language_id import fit_centroids, identify, training_rows
 from pipecast.llm.lattice import lattice_scores
 from pipecast.llm.mixing import mix
+from pipecast.llm.ngram_join import ngram_jaccard_join
 from pipecast.llm.pieces import round_trip
 from pipecast.llm.store import read
 from pipecast.llm.toxicity import fit_toxicity, toxicity
@@ -20,6 +21,10 @@ from pipecast.llm.vocabulary import load_vocabulary
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard_join(read(spark, sf_dir, "documents"), width=4, percent=85)
+
+
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(read(spark, sf_dir, "documents")).drop("copies", "source")
 
@@ -88,6 +93,7 @@ FROM texts JOIN classes USING (content)
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
         "op2_source_mix": op2_source_mix,
         "op3_sentencepiece": op3_sentencepiece,
         "op4_fingerprints": op4_fingerprints,
