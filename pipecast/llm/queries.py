@@ -15,6 +15,7 @@ from pipecast.llm.mixing import mix
 from pipecast.llm.ngram_join import ngram_jaccard_join
 from pipecast.llm.pieces import round_trip
 from pipecast.llm.store import read
+from pipecast.llm.substrings import deduplicate_substrings
 from pipecast.llm.toxicity import fit_toxicity, toxicity
 from pipecast.llm.vocabulary import load_vocabulary
 
@@ -51,6 +52,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, fit_centroids(training_rows(docs)))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deduplicate_substrings(read(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(read(spark, sf_dir, "documents"))
 
@@ -100,6 +105,7 @@ def queries() -> dict[str, Query]:
         "op5_lattice_lm": op5_lattice_lm,
         "op6_toxicity": op6_toxicity,
         "op7_language_id": op7_language_id,
+        "op8_substring_dedup": op8_substring_dedup,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_chat_format": op10_chat_format,
     }
