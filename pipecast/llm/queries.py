@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from pipecast.llm.chat import format_chats
 from pipecast.llm.exact_dedup import exact_duplicates
 from pipecast.llm.fingerprints import document_fingerprints
@@ -108,6 +109,7 @@ def queries() -> dict[str, Query]:
         "op8_substring_dedup": op8_substring_dedup,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_chat_format": op10_chat_format,
+        "pipeline": corpus_pipeline.run,
     }
 
 
