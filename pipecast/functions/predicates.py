@@ -72,6 +72,11 @@ def counted_booking(cfg: ForecastConfig) -> Column:
     )
 
 
+def known_by(cfg: ForecastConfig, day: str) -> Column:
+    """Whether a run pinned to ``as_of`` can know of ``day``; an unpinned run knows everything it reads."""
+    return F.lit(True) if cfg.as_of is None else F.col(day) <= F.lit(cfg.as_of)
+
+
 def segment_quota() -> Column:
     return (F.col("quota_owner_type__c") == SEGMENT_OWNER_TYPE) & (F.col("gross_quota__c") > 0)
 

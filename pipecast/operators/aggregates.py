@@ -21,6 +21,7 @@ from pipecast.functions.labels import division_or_undefined
 from pipecast.functions.predicates import (
     closing_in_quarter,
     counted_booking,
+    known_by,
     not_excluded,
     open_opportunity,
     segment_quota,
@@ -132,9 +133,12 @@ def daily_bookings(
     division_map: DataFrame,
     cfg: ForecastConfig,
 ) -> DataFrame:
-    """Counted bookings per (day, quarter, clean label); the label stays NULL where unmapped."""
+    """Counted bookings per (day, quarter, clean label), as known on the run's day.
+
+    The label stays NULL where unmapped.
+    """
     per_label = (
-        bookings.where(counted_booking(cfg))
+        bookings.where(counted_booking(cfg) & known_by(cfg, "booking_date__c"))
         .groupBy("booking_date__c", "owner_division__c")
         .agg(F.sum("amount__c").alias("bookings"))
     )
@@ -163,9 +167,9 @@ def quota_by_quarter(quota: DataFrame, quarter_mapping: DataFrame, division_map:
     )
 
 
-def latest_booking_day(bookings: DataFrame) -> DataFrame:
-    """One row: the last booking date, over all bookings whether they count or not."""
-    return bookings.agg(F.max("booking_date__c").alias("dt"))
+def latest_booking_day(bookings: DataFrame, cfg: ForecastConfig) -> DataFrame:
+    """One row: the last booking date known on the run's day, whether the booking counts or not."""
+    return bookings.where(known_by(cfg, "booking_date__c")).agg(F.max("booking_date__c").alias("dt"))
 
 
 def four_quarter_average(features: DataFrame) -> DataFrame:

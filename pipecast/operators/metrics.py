@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 
 def r2(actual: str, predicted: str) -> Column:
-    """Share of the label's variance explained; NULL for a constant label."""
+    """Share of the label's variance explained, over rows with both values; NULL for a constant label."""
     missed = F.sum(F.pow(F.col(actual) - F.col(predicted), 2))
-    return 1 - F.try_divide(missed, F.var_pop(actual) * F.count(actual))
+    known = F.when(F.col(predicted).isNotNull(), F.col(actual))
+    return 1 - F.try_divide(missed, F.var_pop(known) * F.count(known))
 
 
 def mean_abs_error(actual: str, predicted: str) -> Column:

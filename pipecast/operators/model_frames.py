@@ -21,10 +21,6 @@ def drop_unused(df: DataFrame) -> DataFrame:
     return df.drop(*DROPPED_FOR_MODEL)
 
 
-def features_only(df: DataFrame) -> DataFrame:
-    return df.drop(LABEL)
-
-
 def label_only(df: DataFrame) -> DataFrame:
     return df.select(LABEL)
 

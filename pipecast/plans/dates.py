@@ -23,9 +23,9 @@ def current_quarter_start(quarter_mapping: DataFrame, cfg: ForecastConfig) -> Co
     return running.select("qtr_start").scalar()
 
 
-def latest_day(bookings: DataFrame) -> Column:
-    """The last booking date, as a scalar subquery."""
-    return latest_booking_day(bookings).scalar()
+def latest_day(bookings: DataFrame, cfg: ForecastConfig) -> Column:
+    """The last booking date known on the run's day, as a scalar subquery."""
+    return latest_booking_day(bookings, cfg).scalar()
 
 
 @dataclass(frozen=True)
@@ -44,7 +44,7 @@ class RunDates:
 
     @classmethod
     def lazy(cls, src: Sources, cfg: ForecastConfig) -> RunDates:
-        latest = latest_day(src.bookings)
+        latest = latest_day(src.bookings, cfg)
         lags = same_day_lags(src.calendar, latest, LAGS)
         return cls(
             quarter_start=current_quarter_start(src.quarter_mapping, cfg),
@@ -54,7 +54,7 @@ class RunDates:
 
     @classmethod
     def resolve(cls, src: Sources, cfg: ForecastConfig) -> RunDates:
-        latest = F.lit(latest_booking_day(src.bookings).first()["dt"]).cast("date")
+        latest = F.lit(latest_booking_day(src.bookings, cfg).first()["dt"]).cast("date")
         lags = same_day_lags(src.calendar, latest, LAGS).first()
         start = src.calendar.sparkSession.range(1).select(
             current_quarter_start(src.quarter_mapping, cfg).alias("start")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import add
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pipecast import schemas
@@ -29,15 +29,13 @@ def history_quarters(quarter_mapping: DataFrame, cfg: ForecastConfig) -> DataFra
     return quarter_mapping.where(F.col("qtr_end") >= F.lit(cfg.min_dt))
 
 
-def scan_window(df: DataFrame, day: str, quarters: DataFrame) -> DataFrame:
-    """Restrict a source to the days spanned by ``quarters``.
+def scan_bounds(quarters: DataFrame) -> tuple[Column, Column]:
+    """First and last day of ``quarters``.
 
     The bounds are scalar subqueries over a tiny table: Spark resolves them before
     the scan and uses them to skip partitions and row groups.
     """
-    first = quarters.agg(F.min("qtr_start")).scalar()
-    last = quarters.agg(F.max("qtr_end")).scalar()
-    return df.where((F.col(day) >= first) & (F.col(day) <= last))
+    return quarters.agg(F.min("qtr_start")).scalar(), quarters.agg(F.max("qtr_end")).scalar()
 
 
 def build_features(src: Sources, cfg: ForecastConfig, quarters: DataFrame | None = None) -> DataFrame:
@@ -51,13 +49,11 @@ def build_features(src: Sources, cfg: ForecastConfig, quarters: DataFrame | None
     if quarters is None:
         quarters = history_quarters(src.quarter_mapping, cfg)
     since = F.lit(cfg.min_dt)
-    snapshots = scan_window(src.opportunity_history, "dt", quarters).where(
-        F.col("dt") >= F.date_sub(since, 1)
-    )
+    first, last = scan_bounds(quarters)
+    snapshots = src.snapshots(first, last).where(F.col("dt") >= F.date_sub(since, 1))
     pipeline = pipeline_totals(snapshots, quarters, src.division_map, cfg).where("touched_deals > 0")
-    daily = daily_bookings(
-        scan_window(src.bookings, "booking_date__c", quarters), quarters, src.division_map, cfg
-    )
+    bookings = src.bookings.where(F.col("booking_date__c").between(first, last))
+    daily = daily_bookings(bookings, quarters, src.division_map, cfg)
     assembled = assemble_features(
         quota=quota_by_quarter(src.quota, quarters, src.division_map),
         spine=calendar_spine(quarters, src.calendar).where(F.col("dt") >= since),

@@ -28,7 +28,6 @@ PREDICTION = "prediction"
 
 # Spark grows trees level by level to at most 30 levels; that stands for "unlimited".
 DEEPEST_TREE = 30
-DEEPEST_BOOSTED_TREE = 10
 
 # The tuned leaf sizes, by whether divisions are merged, and the search grid.
 FOREST_LEAF = {False: 3, True: 3}
@@ -70,36 +69,37 @@ def random_forest(
         labelCol=LABEL,
         featuresCol=FEATURES,
         numTrees=trees,
-        maxDepth=max_depth or DEEPEST_TREE,
-        minInstancesPerNode=leaf or FOREST_LEAF[together],
+        maxDepth=DEEPEST_TREE if max_depth is None else max_depth,
+        minInstancesPerNode=FOREST_LEAF[together] if leaf is None else leaf,
         featureSubsetStrategy="all",
         subsamplingRate=1.0,
         seed=SEED,
+        maxMemoryInMB=1024,
+        cacheNodeIds=True,
     )
 
 
 def gradient_boosting(
     together: bool = False, rounds: int = TREES, max_depth: int | None = None, leaf: int | None = None
 ) -> GBTRegressor:
-    """Trees fitted one after another to the squared-loss residuals.
-
-    Boosted trees are capped at a depth of 10: deeper ones memorise single rows.
-    """
+    """Trees fitted one after another to the squared-loss residuals."""
     return GBTRegressor(
         labelCol=LABEL,
         featuresCol=FEATURES,
         maxIter=rounds,
         stepSize=LEARNING_RATE,
         lossType="squared",
-        maxDepth=max_depth or DEEPEST_BOOSTED_TREE,
-        minInstancesPerNode=leaf or BOOSTING_LEAF[together],
+        maxDepth=DEEPEST_TREE if max_depth is None else max_depth,
+        minInstancesPerNode=BOOSTING_LEAF[together] if leaf is None else leaf,
         featureSubsetStrategy="all",
         seed=SEED,
+        maxMemoryInMB=1024,
+        cacheNodeIds=True,
     )
 
 
 def lasso_on_scaled(alpha: float = 1.0) -> list[Estimator]:
-    """Standardise the features, then a lasso whose zero coefficients mark features to drop."""
+    """Standardise the features by their sample deviation, then a lasso whose zero coefficients mark features to drop."""
     return [
         StandardScaler(inputCol=FEATURES, outputCol="scaled", withMean=True, withStd=True),
         LinearRegression(
@@ -213,8 +213,7 @@ def grid_search(
     run at a time; each is a Spark job of its own. ``None`` as depth stands for the
     deepest tree the estimator allows.
     """
-    deepest = DEEPEST_BOOSTED_TREE if isinstance(estimator, GBTRegressor) else DEEPEST_TREE
-    depth_values = list(dict.fromkeys(depth or deepest for depth in depths))
+    depth_values = list(dict.fromkeys(DEEPEST_TREE if depth is None else depth for depth in depths))
     rows = cut_lineage(with_fold(model_rows(train), folds))
     encoder = Pipeline(stages=encoder_stages()).fit(rows)
     encoded = cut_lineage(encoder.transform(rows).select(FEATURES, LABEL, "fold"))

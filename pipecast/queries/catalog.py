@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pipecast import schemas
@@ -79,18 +79,17 @@ def src_opportunity_history(spark: SparkSession, folder: str) -> DataFrame:
     history = ws.sources(spark, folder).opportunity_history
     return history.groupBy("dt").agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.min("id").alias("first_id"),
-        F.max("id").alias("last_id"),
-        F.countDistinct("stagename").alias("n_stages"),
+        F.sum(F.expr("try_cast(id as bigint)")).alias("sum_of_ids"),
+        *[F.count_if(F.col("stagename") == name).alias(f"n_stage_{k}") for k, name in enumerate(CONFIG.stages, 1)],
         F.sum("amount").cast("double").alias("total_amount"),
         F.count("currencyisocode").alias("n_currency"),
-        F.countDistinct("accountid").alias("n_accounts"),
+        F.sum(F.expr("try_cast(accountid as bigint)")).alias("sum_of_accounts"),
         F.count("lastactivitydate").alias("n_activity"),
         F.max(F.to_date("lastmodifieddate")).alias("last_modified"),
         F.count_if("isdeleted").alias("n_deleted"),
         F.count_if("isclosed").alias("n_closed"),
         F.max("closedate").alias("last_close"),
-        F.countDistinct("owner_division__c").alias("n_owner_divisions"),
+        F.sum(F.length("owner_division__c")).alias("owner_letters"),
     )
 
 
@@ -351,13 +350,13 @@ def flt_in_current_qtr(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def flt_until_last_booking(spark: SparkSession, folder: str) -> DataFrame:
-    last = run_dates.latest_day(ws.sources(spark, folder).bookings)
+    last = run_dates.latest_day(ws.sources(spark, folder).bookings, CONFIG)
     return _spine(spark, folder).where(F.col("dt") <= last)
 
 
 @query
 def flt_current_day(spark: SparkSession, folder: str) -> DataFrame:
-    last = run_dates.latest_day(ws.sources(spark, folder).bookings)
+    last = run_dates.latest_day(ws.sources(spark, folder).bookings, CONFIG)
     return _spine(spark, folder).where(F.col("dt") == last)
 
 
@@ -398,16 +397,24 @@ def join_quota_quarter(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def join_currency(spark: SparkSession, folder: str) -> DataFrame:
     src = ws.sources(spark, folder)
-    rated = joins.join_currency(src.opportunity_history, src.currency)
-    return _rows_and_amount(rated, "dt", "alphabeticcode", "rate")
+    # A row per day and code meets the rates: three codes are no key to shuffle snapshots on.
+    daily = src.opportunity_history.groupBy("dt", "currencyisocode").agg(
+        F.count(F.lit(1)).alias("snapshots"), F.sum("amount").alias("amount")
+    )
+    rated = joins.join_currency(daily, src.currency)
+    return rated.groupBy("dt", "alphabeticcode", "rate").agg(
+        F.sum("snapshots").alias("n_rows"), F.sum("amount").cast("double").alias("total_amount")
+    )
 
 
 @query
 def join_account(spark: SparkSession, folder: str) -> DataFrame:
     src = ws.sources(spark, folder)
-    known = joins.join_account(src.opportunity_history, src.account)
+    daily = src.opportunity_history.groupBy("dt", "accountid").agg(F.count(F.lit(1)).alias("snapshots"))
+    known = joins.join_account(daily, src.account)
+    of_known = F.when(F.col("account_id").isNotNull(), F.col("snapshots")).otherwise(0)
     return known.groupBy("dt").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count("account_id").alias("n_known_accounts")
+        F.sum("snapshots").alias("n_rows"), F.sum(of_known).alias("n_known_accounts")
     )
 
 
@@ -440,7 +447,7 @@ def join_prior_day_pipe(spark: SparkSession, folder: str) -> DataFrame:
 
 def _lags(spark: SparkSession, folder: str, quarters: int) -> DataFrame:
     src = ws.sources(spark, folder)
-    return windows.same_day_lags(src.calendar, run_dates.latest_day(src.bookings), quarters)
+    return windows.same_day_lags(src.calendar, run_dates.latest_day(src.bookings, CONFIG), quarters)
 
 
 @query
@@ -511,7 +518,7 @@ def agg_quota(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def agg_max_booking_date(spark: SparkSession, folder: str) -> DataFrame:
-    return aggregates.latest_booking_day(ws.sources(spark, folder).bookings)
+    return aggregates.latest_booking_day(ws.sources(spark, folder).bookings, CONFIG)
 
 
 @query
@@ -552,7 +559,10 @@ def win_lag_1_to_4(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def sort_output(spark: SparkSession, folder: str) -> DataFrame:
-    return feature_plan.sort_for_output(ws.stored_slice(spark, folder, "train"))
+    """The published order, with each row's place in it."""
+    ordered = feature_plan.sort_for_output(ws.stored_slice(spark, folder, "train"))
+    place = F.row_number().over(Window.orderBy(F.monotonically_increasing_id()))
+    return ordered.select("sales_div", "dt", place.alias("place"))
 
 
 @query
@@ -577,16 +587,16 @@ def sub_scalar(spark: SparkSession, folder: str) -> DataFrame:
 def sub_cte(spark: SparkSession, folder: str) -> DataFrame:
     """Nested common table expressions in Spark SQL over published frames."""
     src = ws.sources(spark, folder)
-    src.bookings.createOrReplaceTempView("bookings")
-    src.quarter_mapping.createOrReplaceTempView("quarter_mapping")
+    src.bookings.createOrReplaceTempView("sub_cte_bookings")
+    src.quarter_mapping.createOrReplaceTempView("sub_cte_quarters")
     return spark.sql(
         """
         WITH per_quarter AS (
             WITH per_day AS (
-                SELECT booking_date__c AS dt, count(*) AS n_bookings FROM bookings GROUP BY booking_date__c
+                SELECT booking_date__c AS dt, count(*) AS n_bookings FROM sub_cte_bookings GROUP BY booking_date__c
             )
             SELECT fy_quarter, max(n_bookings) AS busiest_day, sum(n_bookings) AS n_bookings
-            FROM (SELECT fy_quarter, explode(sequence(qtr_start, qtr_end)) AS dt FROM quarter_mapping)
+            FROM (SELECT fy_quarter, explode(sequence(qtr_start, qtr_end)) AS dt FROM sub_cte_quarters)
             JOIN per_day USING (dt)
             GROUP BY fy_quarter
         )
@@ -725,6 +735,13 @@ def _register_views() -> None:
 
 _register_views()
 
+
+@query
+def view_test_backdated(spark: SparkSession, folder: str) -> DataFrame:
+    """The running quarter of a run a year earlier, over the same sources."""
+    return slices.build_slice("test", ws.sources(spark, folder), ws.BACK_DATED)
+
+
 # --- models -------------------------------------------------------------------------------------
 
 

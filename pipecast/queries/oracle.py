@@ -9,7 +9,7 @@ checks that the plans' shortcuts change nothing.
 from __future__ import annotations
 
 from pipecast import schemas
-from pipecast.queries.workspace import CONFIG
+from pipecast.queries.workspace import BACK_DATED, CONFIG
 
 AS_OF = f"DATE '{CONFIG.as_of}'"
 MIN_DT = f"DATE '{CONFIG.min_dt}'"
@@ -63,7 +63,7 @@ opportunity_history AS (
            [{STAGE_LIST}][k * 5 // life + 1] AS stagename,
            CASE WHEN o_orderkey % 97 = 0 THEN 0 ELSE CAST(o_totalprice AS DECIMAL(18, 2)) END AS amount,
            CASE o_orderkey % 4 WHEN 1 THEN 'USD' WHEN 2 THEN 'EUR' WHEN 3 THEN 'GBP' END AS currencyisocode,
-           CAST(o_custkey AS VARCHAR) AS accountid,
+           CASE WHEN o_orderkey % 17 = 0 THEN 'gone' ELSE '' END || o_custkey AS accountid,
            CASE WHEN o_orderkey % 7 <> 0 THEN od END AS lastactivitydate,
            CASE WHEN o_orderkey % 3 = 0 THEN od ELSE od + CAST(k // 60 * 60 AS INTEGER) END AS lastmodifieddate,
            o_orderkey % 50 = 0 AS isdeleted,
@@ -88,7 +88,6 @@ bookings AS (
                END AS account__c,
            l_linestatus = 'F' AND l_orderkey % 30 = 0 AS isdeleted
     FROM lineitem JOIN labelled_orders ON o_orderkey = l_orderkey
-    WHERE CAST(l_shipdate AS DATE) <= {AS_OF}
 ),
 quota AS (
     SELECT start_date__c, email__c, gross_quota__c, unnest(['Segment', 'Rep']) AS quota_owner_type__c
@@ -178,7 +177,7 @@ counted_bookings AS (
     FROM bookings b
     LEFT JOIN quarter_mapping q ON b.booking_date__c BETWEEN q.qtr_start AND q.qtr_end
     LEFT JOIN division_map m ON m.sales_div_dirty = b.owner_division__c
-    WHERE {_COUNTED}
+    WHERE {_COUNTED} AND booking_date__c <= {AS_OF}
 ),
 daily AS (
     SELECT booking_date__c, fy_quarter, sales_div_clean, sum(amount__c) AS bookings
@@ -219,7 +218,7 @@ assembled AS (
     LEFT JOIN open_pipe a ON a.dt + 1 = e.dt AND a.sales_div = g.sales_div AND a.fy_quarter = g.fy_quarter
     WHERE p.sales_div NOT IN ({EXCLUDED})
 ),
-latest AS (SELECT max(booking_date__c) AS day FROM bookings),
+latest AS (SELECT max(booking_date__c) AS day FROM bookings WHERE booking_date__c <= {AS_OF}),
 running AS (SELECT qtr_start FROM quarter_mapping WHERE {AS_OF} BETWEEN qtr_start AND qtr_end),
 same_days AS (
     SELECT dt, lag(dt, 1) OVER w AS lag_1, lag(dt, 2) OVER w AS lag_2,
@@ -350,12 +349,14 @@ def _view_counts() -> str:
 
 def oracle_sql() -> dict[str, str]:
     plain = {
-        "src_opportunity_history": """SELECT dt, count(*) AS n_rows, min(id) AS first_id, max(id) AS last_id,
-            count(DISTINCT stagename) AS n_stages, CAST(sum(amount) AS DOUBLE) AS total_amount,
-            count(currencyisocode) AS n_currency, count(DISTINCT accountid) AS n_accounts,
+        "src_opportunity_history": """SELECT dt, count(*) AS n_rows,
+            CAST(sum(TRY_CAST(id AS BIGINT)) AS BIGINT) AS sum_of_ids, """
+        + ", ".join(f"count(*) FILTER (WHERE stagename = '{s}') AS n_stage_{k}" for k, s in enumerate(CONFIG.stages, 1))
+        + """, CAST(sum(amount) AS DOUBLE) AS total_amount,
+            count(currencyisocode) AS n_currency, CAST(sum(TRY_CAST(accountid AS BIGINT)) AS BIGINT) AS sum_of_accounts,
             count(lastactivitydate) AS n_activity, max(lastmodifieddate) AS last_modified,
             count(*) FILTER (WHERE isdeleted) AS n_deleted, count(*) FILTER (WHERE isclosed) AS n_closed,
-            max(closedate) AS last_close, count(DISTINCT owner_division__c) AS n_owner_divisions
+            max(closedate) AS last_close, CAST(sum(length(owner_division__c)) AS BIGINT) AS owner_letters
             FROM opportunity_history GROUP BY dt""",
         "src_bookings": _as_doubles("bookings", ["amount__c"]),
         "src_quota": _as_doubles("quota", ["gross_quota__c"]),
@@ -460,7 +461,9 @@ def oracle_sql() -> dict[str, str]:
             AS DOUBLE) AS bookings_qtd FROM assembled""",
         "win_lag_same_day": "SELECT dt, lag_1 FROM lags",
         "win_lag_1_to_4": "SELECT * FROM lags",
-        "sort_output": f"{_TRAIN} ORDER BY sales_div, dt, fy_quarter, day_of_qtr",
+        "sort_output": f"""SELECT sales_div, dt,
+            CAST(row_number() OVER (ORDER BY sales_div, dt, fy_quarter, day_of_qtr) AS INTEGER) AS place
+            FROM ({_TRAIN})""",
         "setop_union_distinct": "SELECT * FROM lag_days WHERE dt IS NOT NULL",
         "sub_scalar": """SELECT (SELECT count(*) FROM bookings) AS n_bookings,
             (SELECT qtr_start FROM running) AS quarter_start, day AS latest_booking, lag_1, lag_2, lag_3, lag_4
@@ -531,6 +534,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         together=True,
     )
+    oracles["view_test_backdated"] = _sql(_SLICES["test"]).replace(AS_OF, f"DATE '{BACK_DATED.as_of}'")
     oracles["sink_named_view"] = _view_counts()
     for name, body in _SLICES.items():
         oracles[f"view_{name}"] = _sql(body)

@@ -7,13 +7,14 @@ it, as in a production run; queries about building it start from the sources.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date
 from functools import lru_cache
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
-from pipecast.config import ForecastConfig
+from pipecast.config import EXCLUDED_BOOKING_IDS, EXCLUDED_OPPORTUNITY_IDS, ForecastConfig
 from pipecast.operators.model_frames import split_holdout
 from pipecast.plans import models
 from pipecast.plans.dates import RunDates
@@ -23,7 +24,13 @@ from pipecast.sources.orders_mapping import derive_sources
 from pipecast.sources.readers import Sources
 from pipecast.sources.sinks import cut_lineage, run_folder, store_features
 
-CONFIG = ForecastConfig(as_of=date(2001, 6, 15), min_dt=date(1995, 8, 1))
+CONFIG = ForecastConfig(
+    as_of=date(2001, 6, 15),
+    min_dt=date(1995, 8, 1),
+    excluded_opportunity_ids=EXCLUDED_OPPORTUNITY_IDS,
+    excluded_booking_ids=EXCLUDED_BOOKING_IDS,
+)
+BACK_DATED = replace(CONFIG, as_of=date(2000, 6, 15))
 
 # Tree depth of the registered model queries: unlimited depth multiplies their run time.
 FOREST_DEPTH = 10
@@ -32,7 +39,7 @@ BOOSTING_DEPTH = 3
 
 @lru_cache(maxsize=16)
 def sources(spark: SparkSession, folder: str, together: bool = False) -> Sources:
-    return derive_sources(spark, folder, CONFIG.as_of, together)
+    return derive_sources(spark, folder, together)
 
 
 @lru_cache(maxsize=16)

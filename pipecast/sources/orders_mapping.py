@@ -8,16 +8,13 @@ the forecast has rows to keep and rows to drop; no order or line is left out.
 
 from __future__ import annotations
 
-from datetime import date
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pipecast import schemas
 from pipecast.config import EXCLUDED_BOOKING_IDS, EXCLUDED_OPPORTUNITY_IDS, STAGES
 from pipecast.functions.fiscal import day_of_quarter, quarter_end, quarter_label, quarter_start
 from pipecast.sources.readers import Sources, conform
-from pipecast.sources.sinks import stage
 
 # The longest an order is followed as an opportunity, in days.
 LONGEST_LIFE = 150
@@ -53,37 +50,33 @@ class OrderTables:
         return orders.join(self.customer_labels, F.col("o_custkey") == F.col("c_custkey"))
 
 
-def _fill_cores(df: DataFrame, scan: DataFrame) -> DataFrame:
-    """Spread ``df`` over the cores if its ``scan`` has fewer splits, ahead of an explode.
-
-    A scan large enough to occupy the cluster is left as it is, unshuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if scan.rdd.getNumPartitions() >= cores else df.repartition(cores, "o_orderkey")
-
-
-def opportunity_history(tables: OrderTables) -> DataFrame:
+def opportunity_history(
+    tables: OrderTables, first: Column | None = None, last: Column | None = None
+) -> DataFrame:
     """One row per order and day of its life, walking through the five stages.
 
-    Whatever does not change from day to day is computed ahead of the explode.
+    Whatever does not change from day to day is computed ahead of the explode. With bounds, only
+    orders are read that can have a day between them; their other days are not cut off.
     """
     stages = ", ".join(f"'{stage}'" for stage in STAGES)
-    orders = tables.orders().selectExpr(
+    orders = tables.orders()
+    if first is not None and last is not None:
+        placed = F.col("o_orderdate")
+        orders = orders.where((placed >= F.date_sub(first, LONGEST_LIFE)) & (placed < F.date_add(last, 1)))
+    orders = orders.selectExpr(
         "o_orderkey",
         f"if(o_orderkey = 1, '{EXCLUDED_OPPORTUNITY_IDS[0]}', cast(o_orderkey as string)) as id",
         "od",
         f"cast({_LIFE} as int) as life",
         "if(o_orderkey % 97 = 0, 0, cast(o_totalprice as decimal(18, 2))) as amount",
         "element_at(array(null, 'USD', 'EUR', 'GBP'), cast(o_orderkey % 4 as int) + 1) as currencyisocode",
-        "cast(o_custkey as string) as accountid",
+        "if(o_orderkey % 17 = 0, concat('gone', o_custkey), cast(o_custkey as string)) as accountid",
         "if(o_orderkey % 7 = 0, null, cast(od as timestamp)) as lastactivitydate",
         "o_orderkey % 50 = 0 as isdeleted",
         "o_orderstatus = 'F' as finished",
         "n_name as owner_division__c",
     )
-    days = _fill_cores(orders, tables.read("orders")).withColumn(
-        "k", F.explode(F.expr("sequence(0, life - 1)"))
-    )
+    days = orders.withColumn("k", F.explode(F.expr("sequence(0, life - 1)")))
     rows = days.selectExpr(
         "id",
         "date_add(od, k) as dt",
@@ -102,11 +95,12 @@ def opportunity_history(tables: OrderTables) -> DataFrame:
     return conform(rows, schemas.OPPORTUNITY_HISTORY)
 
 
-def bookings(tables: OrderTables, as_of: date) -> DataFrame:
-    """One row per order line shipped by ``as_of``: a booking is known once it has happened."""
-    lines = tables.read("lineitem").where(F.to_date("l_shipdate") <= F.lit(as_of))
+def bookings(tables: OrderTables) -> DataFrame:
+    """One row per order line. Orders get their labels first; the two facts then meet in a sort-merge
+    join, so that neither is ever sent to every executor."""
+    lines = tables.read("lineitem")
     orders = tables.orders().select("o_orderkey", "o_custkey", "n_name")
-    rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).selectExpr(
+    rows = lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")).selectExpr(
         f"if(l_orderkey = 1 and l_linenumber = 1, '{EXCLUDED_BOOKING_IDS[0]}',"
         " concat(l_orderkey, '-', l_linenumber)) as id",
         "cast(l_shipdate as date) as booking_date__c",
@@ -144,12 +138,10 @@ def quota(tables: OrderTables) -> DataFrame:
 
 def quarter_mapping(tables: OrderTables) -> DataFrame:
     """Every fiscal quarter from the first order to the end of the last opportunity."""
-    span = tables.read("orders").agg(
-        F.min(F.to_date("o_orderdate")).alias("first"), F.max(F.to_date("o_orderdate")).alias("last")
-    )
-    first = quarter_start(F.col("first"))
-    last = quarter_start(F.date_add("last", LONGEST_LIFE))
-    starts = span.select(
+    span = tables.read("orders").agg(F.min(F.to_date("o_orderdate")), F.max(F.to_date("o_orderdate"))).first()
+    first = quarter_start(F.lit(span[0]).cast("date"))
+    last = quarter_start(F.date_add(F.lit(span[1]).cast("date"), LONGEST_LIFE))
+    starts = tables.spark.range(1).select(
         F.explode(F.sequence(first, last, F.expr("interval 3 months"))).alias("qtr_start")
     )
     rows = starts.select(
@@ -190,37 +182,31 @@ def division_map(tables: OrderTables, together: bool) -> DataFrame:
 
 
 def currency(tables: OrderTables) -> DataFrame:
-    """The currencies orders are placed in."""
-    codes = tables.read("orders").selectExpr(
-        "case o_orderkey % 4 when 1 then 'USD' when 2 then 'EUR' when 3 then 'GBP' end as alphabeticcode"
-    )
-    rates = "case alphabeticcode when 'USD' then 1.0 when 'EUR' then 1.1 when 'GBP' then 1.3 end"
-    return conform(
-        codes.where("alphabeticcode is not null").distinct().withColumn("rate", F.expr(rates)),
-        schemas.CURRENCY,
-    )
+    """The currencies orders are placed in: three literal rows."""
+    rows = tables.spark.sql("VALUES ('USD', 1.0), ('EUR', 1.1), ('GBP', 1.3) AS t(alphabeticcode, rate)")
+    return conform(rows, schemas.CURRENCY)
 
 
 def account(tables: OrderTables) -> DataFrame:
     return conform(tables.read("customer").select(F.col("c_custkey").alias("id")), schemas.ACCOUNT)
 
 
-def derive_sources(spark: SparkSession, folder: str, as_of: date, together: bool = False) -> Sources:
+def derive_sources(spark: SparkSession, folder: str, together: bool = False) -> Sources:
     """All forecast sources from the star schema in ``folder``.
 
-    The dimensions (a row per day at most) are staged as files: they are read by
-    many subqueries, which would otherwise each go back to the orders. The big
-    tables stay lazy, so nothing the size of the input is stored.
+    The calendar follows from the first and last order date, looked up once. Everything
+    else stays lazy, so nothing is stored.
     """
     tables = OrderTables(spark, folder)
-    quarters = stage(quarter_mapping(tables), "quarter_mapping")
+    quarters = quarter_mapping(tables)
     return Sources(
         opportunity_history=opportunity_history(tables),
-        bookings=bookings(tables, as_of),
+        bookings=bookings(tables),
         quota=quota(tables),
         quarter_mapping=quarters,
-        calendar=stage(calendar(quarters), "calendar"),
-        division_map=stage(division_map(tables, together), "division_map"),
+        calendar=calendar(quarters),
+        division_map=division_map(tables, together),
         currency=currency(tables),
         account=account(tables),
+        history_between=lambda first, last: opportunity_history(tables, first, last),
     )

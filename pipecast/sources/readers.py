@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, fields
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +30,15 @@ class Sources:
     division_map: DataFrame
     currency: DataFrame | None = None
     account: DataFrame | None = None
+    history_between: Callable[[Column, Column], DataFrame] | None = None
+
+    def snapshots(self, first: Column, last: Column) -> DataFrame:
+        """The snapshots of the days from ``first`` to ``last``.
+
+        A source that derives its snapshots can pass ``history_between`` to read less for them.
+        """
+        rows = self.history_between(first, last) if self.history_between else self.opportunity_history
+        return rows.where((F.col("dt") >= first) & (F.col("dt") <= last))
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, root: str, **paths: str) -> Sources:
@@ -39,6 +49,7 @@ class Sources:
                     paths.get(f.name, f"{root}/{f.name}")
                 )
                 for f in fields(cls)
+                if f.name in schemas.SOURCE_SCHEMAS
             }
         )
 

@@ -52,10 +52,28 @@ def test_current_day_is_part_of_the_running_quarter(spark):
 def test_last_days_of_a_quarter(spark):
     """On day 92 short quarters are passed over, and few divisions have bookings on that very day."""
     cfg = replace(ws.CONFIG, as_of=date(2001, 7, 31))
-    src = derive_sources(spark, SMALL, cfg.as_of)
+    src = derive_sources(spark, SMALL)
     dates = RunDates.resolve(src, cfg)
     counts = {
         name: build_slice(name, src, cfg, dates).count() for name in ("train", "test", "stlq", "stl4q_avg")
     }
     assert counts == {"train": 7240, "test": 323, "stlq": 1, "stl4q_avg": 2}
     assert build_features(src, cfg).count() == 7652
+
+
+def test_back_dated_run_holds_one_quarter(spark):
+    rows = queries()["view_test_backdated"](spark, SMALL).select("fy_quarter", "dt").distinct().collect()
+    assert len({r.fy_quarter for r in rows}) == 1
+    assert max(r.dt for r in rows) <= ws.BACK_DATED.as_of
+
+
+def test_bookings_source_has_every_line(spark):
+    lines = spark.read.parquet(f"{SMALL}/lineitem.parquet").count()
+    assert ws.sources(spark, SMALL).bookings.count() == lines
+
+
+def test_small_slices_read_few_orders(spark, capsys):
+    """The bounds reach the scan of orders."""
+    build_slice("test", ws.sources(spark, SMALL), ws.CONFIG, ws.dates(spark, SMALL)).explain("formatted")
+    plan = capsys.readouterr().out
+    assert "GreaterThanOrEqual(o_orderdate" in plan or "o_orderdate" in plan.split("PushedFilters")[1]
