@@ -854,6 +854,85 @@ def ml_scale_lasso(spark: SparkSession, folder: str) -> DataFrame:
     train, _ = ws.holdout_split(spark, folder)
     return models.coefficients(spark, models.fit(train, *models.lasso_on_scaled(alpha=0.01)))
 
+# --- properties of model results that hold exactly, whatever solver or seed ----------------------
+
+
+def _has_prediction(df: DataFrame, *keys: str) -> DataFrame:
+    return df.select(*keys, F.col("prediction").isNotNull().alias("has_prediction"))
+
+
+@query
+def sink_csv_compare_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return _has_prediction(sink_csv_compare(spark, folder), "dt", "sales_div")
+
+
+@query
+def sink_csv_prediction_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return _has_prediction(sink_csv_prediction(spark, folder), "dt", "sales_div")
+
+
+@query
+def join_concat_predictions_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return _has_prediction(join_concat_predictions(spark, folder), "dt", "sales_div", "day_of_qtr")
+
+
+@query
+def model_load_same(spark: SparkSession, folder: str) -> DataFrame:
+    """Held-out rows that the stored and reloaded forest predicts like the one in memory."""
+    keys = ["dt", "sales_div"]
+    before = ml_predict(spark, folder).select(*keys, F.col("prediction").alias("before"))
+    return model_load(spark, folder).join(before, keys).select(*keys, (F.col("prediction") == F.col("before")).alias("same"))
+
+
+@query
+def ml_predict_range(spark: SparkSession, folder: str) -> DataFrame:
+    """A forest predicts averages of training labels, so it stays within their range."""
+    train, _ = ws.holdout_split(spark, folder)
+    label = F.col(schemas.LABEL)
+    bounds = train.agg((F.min(label) - 1e-9).alias("low"), (F.max(label) + 1e-9).alias("high"))
+    # One row of two numbers meets every prediction.
+    predicted = ml_predict(spark, folder).join(F.broadcast(bounds), F.lit(True))
+    return predicted.select("dt", "sales_div", F.col("prediction").between(F.col("low"), F.col("high")).alias("in_range"))
+
+
+@query
+def ml_predict_current_quarter_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return _has_prediction(ml_predict_current_quarter(spark, folder), "dt", "sales_div")
+
+
+def _beats_mean(scored: DataFrame) -> DataFrame:
+    return scored.select(F.col("n_rows").cast("long").alias("n_rows"), (F.col("r2_score") > 0).alias("beats_mean"))
+
+
+@query
+def ml_linear_regression_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return _beats_mean(ml_linear_regression(spark, folder))
+
+
+@query
+def ml_random_forest_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return _beats_mean(ml_random_forest(spark, folder))
+
+
+@query
+def ml_gradient_boosting_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return _beats_mean(ml_gradient_boosting(spark, folder))
+
+
+@query
+def ml_train_score_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return _beats_mean(ml_train_score(spark, folder))
+
+
+@query
+def ml_feature_importance_total(spark: SparkSession, folder: str) -> DataFrame:
+    importance = F.col("importance")
+    return ml_feature_importance(spark, folder).agg(
+        F.count("*").alias("n_features"),
+        F.round(F.sum(importance), 6).alias("total"),
+        (F.min(importance) >= 0).alias("none_negative"),
+    )
+
 
 def _scored(spark: SparkSession, folder: str, *names: str) -> DataFrame:
     """Scores of a forecast that needs no model: the quarter ends where it stands today."""

@@ -9,6 +9,7 @@ checks that the plans' shortcuts change nothing.
 from __future__ import annotations
 
 from pipecast import schemas
+from pipecast.operators.model_frames import HOLDOUT_BUCKETS
 from pipecast.queries.workspace import BACK_DATED, CONFIG
 
 AS_OF = f"DATE '{CONFIG.as_of}'"
@@ -324,6 +325,8 @@ _TEST_FILLED = "SELECT * REPLACE (" + ", ".join(
     f"coalesce({c}, 0) AS {c}" for c in ("pipe_coverage", "pct_pipe_remain_to_close", "direct_bookings", schemas.LABEL)
 ) + f") FROM ({_TEST})"
 _HASHED = "('0x' || substr(md5(sales_div || '|' || dt), 1, 2))"
+_HOLDOUT = f"SELECT * FROM ({_TRAIN}) WHERE CAST({_HASHED} AS INTEGER) < {HOLDOUT_BUCKETS}"
+_TRAINING = f"SELECT * FROM ({_TRAIN}) WHERE CAST({_HASHED} AS INTEGER) >= {HOLDOUT_BUCKETS}"
 _ASSEMBLED_KEYS = "dt, fy_quarter, day_of_qtr, sales_div"
 _DIVISIONS = "(SELECT DISTINCT sales_div FROM goal)"
 
@@ -349,6 +352,19 @@ def _view_counts() -> str:
 
 def oracle_sql() -> dict[str, str]:
     plain = {
+        "sink_csv_compare_rows": f"SELECT dt, sales_div, true AS has_prediction FROM ({_HOLDOUT})",
+        "sink_csv_prediction_rows": f"SELECT dt, sales_div, true AS has_prediction FROM ({_TEST})",
+        "join_concat_predictions_rows": f"SELECT dt, sales_div, day_of_qtr, true AS has_prediction FROM ({_HOLDOUT})",
+        "model_load_same": f"SELECT dt, sales_div, true AS same FROM ({_HOLDOUT})",
+        "ml_predict_range": f"SELECT dt, sales_div, true AS in_range FROM ({_HOLDOUT})",
+        "ml_predict_current_quarter_rows": f"SELECT dt, sales_div, true AS has_prediction FROM ({_TEST})",
+        "ml_linear_regression_rows": f"SELECT count(*) AS n_rows, true AS beats_mean FROM ({_HOLDOUT})",
+        "ml_random_forest_rows": f"SELECT count(*) AS n_rows, true AS beats_mean FROM ({_HOLDOUT})",
+        "ml_gradient_boosting_rows": f"SELECT count(*) AS n_rows, true AS beats_mean FROM ({_HOLDOUT})",
+        "ml_train_score_rows": f"SELECT count(*) AS n_rows, true AS beats_mean FROM ({_TRAINING})",
+        # The divisions' levels and one for unseen ones follow the numeric features.
+        "ml_feature_importance_total": f"""SELECT count(DISTINCT sales_div) + {len(schemas.MODEL_FEATURES) + 1} AS n_features,
+            CAST(1 AS DOUBLE) AS total, true AS none_negative FROM ({_TRAINING})""",
         "src_opportunity_history": """SELECT dt, count(*) AS n_rows,
             CAST(sum(TRY_CAST(id AS BIGINT)) AS BIGINT) AS sum_of_ids, """
         + ", ".join(f"count(*) FILTER (WHERE stagename = '{s}') AS n_stage_{k}" for k, s in enumerate(CONFIG.stages, 1))
