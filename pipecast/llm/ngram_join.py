@@ -4,8 +4,8 @@ A document's set holds its distinct shingles of ``width`` words (lower-cased A-Z
 hashes; with fewer words, the whole sequence is the one shingle. Documents link when
 ``100 * |A and B| >= percent * |A or B|``. Documents without words link with nothing.
 
-1. *Classes.* Documents with equal sets are one class; its smallest doc_id stands for it. Copies
-   are never expanded into pairs.
+1. *Classes.* Documents with equal sets are one class; its first row stands for it. Copies are
+   never expanded into pairs.
 2. *Order.* Shingles are ordered by how many texts have them, rarest first, as told by a table
    of 2**SKETCH_BITS counters over all documents, then by hash. Any order gives right results;
    this one keeps shingles that many documents share out of the prefixes.
@@ -13,17 +13,18 @@ hashes; with fewer words, the whole sequence is the one shingle. Documents link
    Classes with equal prefixes and size are one group; shingles of group prefixes that one
    class alone has are dropped.
 4. *Group pairs.* Up to HOT_CLASSES classes at a shingle, pairs of groups are formed and filtered
-   by size, then expanded to pairs of classes, each once.
-5. *Hot shingles.* Groups at shingles that more classes share would make pairs in square. They
-   are gathered into clusters (connected by hot shingles), a cluster is dealt into blocks of
-   BLOCK_CLASSES, and each pair of blocks is compared in one task, which emits links only as
-   far as they connect something new, and the number of all links of each class.
-6. *Verification* compares complete sets, recomputed from the texts of the classes concerned.
-7. *Components* of the links by repeated hooking and jumping, in stored rounds.
+   by size, then expanded to pairs of classes, each once. At hotter shingles pairs would grow in
+   square: stars connect their groups instead.
+5. *Verification* compares complete sets, recomputed from the texts of the classes concerned.
+   What hangs together is one cluster, so that each text travels once. A cluster is dealt into
+   blocks of about BLOCK_CLASSES and each pair of blocks compared in one task, which emits links
+   only as far as they connect something new, and the number of all links of each class. Pairs
+   that would make clusters too large for a block are compared one by one.
+6. *Components* of the links by repeated hooking and jumping, in stored rounds.
 
 A row without doc_id links with nothing and has a null component. Rows with the same doc_id and
 different texts are one node of the graph; the row keeps the size of its own set. Rows that are
-repeated are copies. An empty table gives an empty result.
+repeated are copies. A row without words is its own component. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,8 +32,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,6 +45,8 @@ SKETCH_BITS = 20
 HOT_CLASSES = 24
 # Classes that a block of a hot cluster holds on average.
 BLOCK_CLASSES = 2_048
+# Rows of a lookup table (copied sets, groups of several classes) that are sent to every task.
+BROADCAST_ROWS = 100_000
 # Counters that one row of the sketch carries.
 _SKETCH_ROW = 1 << 12
 
@@ -110,9 +113,10 @@ def shingle_counts(texts: DataFrame, width: int) -> np.ndarray:
 
 
 def _features(width: int, percent: int, counts: np.ndarray):
-    """Per text: set size, two hashes that name the set, and its prefix in the order of ``counts``."""
+    """Per text: a row number, set size, two hashes that name the set, and its prefix in the order of ``counts``."""
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        next_id = TaskContext.get().partitionId() << 40
         for batch in batches:
             for part in portions(batch, "text"):
                 bounds, hashes = shingle_sets(part.column("text"), width)
@@ -124,9 +128,16 @@ def _features(width: int, percent: int, counts: np.ndarray):
                 names = _set_names(bounds, hashes)
                 kept = np.concatenate([[0], np.cumsum(take)])[bounds]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(n), *names, lists(signed(ranked[take]), kept, pa.int64())],
-                    names=["doc_id", "n", "s1", "s2", "prefix"],
+                    [
+                        pa.array(next_id + np.arange(len(n))),
+                        part.column("doc_id"),
+                        pa.array(n),
+                        *names,
+                        lists(signed(ranked[take]), kept, pa.int64()),
+                    ],
+                    names=["row_id", "doc_id", "n", "s1", "s2", "prefix"],
                 )
+                next_id += len(n)
 
     return features
 
@@ -140,16 +151,27 @@ def _set_names(bounds: np.ndarray, hashes: np.ndarray) -> list[pa.Array]:
     return names
 
 
+def _named_sets(part: pa.RecordBatch, width: int) -> list[tuple[int, np.ndarray]]:
+    """(row of the batch, set) of the texts whose set is the one asked for by ``s1`` and ``s2``."""
+    bounds, hashes = shingle_sets(part.column("text"), width)
+    items, names = signed(hashes), _set_names(bounds, hashes)
+    same = [names[k].to_numpy() == part.column(f"s{k + 1}").to_numpy() for k in (0, 1)]
+    return [(k, items[bounds[k] : bounds[k + 1]]) for k in np.flatnonzero(same[0] & same[1])]
+
+
 def _sets(width: int):
-    """Per text: the set and the two hashes that name it."""
+    """(class_id, items): the sets of the texts."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in portions(batch, "text"):
-                bounds, hashes = shingle_sets(part.column("text"), width)
+                found = _named_sets(part, width)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("class_id"), *_set_names(bounds, hashes), lists(signed(hashes), bounds, pa.int64())],
-                    names=["class_id", "s1", "s2", "items"],
+                    [
+                        part.column("class_id").take(pa.array([k for k, _ in found], pa.int64())),
+                        pa.array([items for _, items in found], pa.list_(pa.int64())),
+                    ],
+                    names=["class_id", "items"],
                 )
 
     return sets
@@ -189,51 +211,72 @@ def _find(parent: np.ndarray, k: int) -> int:
     return k
 
 
-def _compare_blocks(percent: int):
-    """All links between two blocks of a cluster (or inside one): their number by class, and connecting links.
+def compare_blocks(members: list[tuple[int, int, int, np.ndarray]], percent: int) -> list[tuple[int, int, int]]:
+    """All links between the sides 0 and 1 of ``members`` (side, class, copies, set), or inside side 0 if it is alone.
 
+    Gives (a, b, 0) for links that connect something new, and (a, a, number of linked rows).
     Each class is compared with all at once: the lists of classes that have its shingles are
     counted, which gives the exact overlaps.
     """
-
-    def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.drop_duplicates(["side", "class_id"]).sort_values(["side", "class_id"]).reset_index(drop=True)
-        left = np.flatnonzero(frame["side"].to_numpy() == 0)
-        right = np.flatnonzero(frame["side"].to_numpy() == 1)
-        inside = not len(right)
-        right = left if inside else right
-        ids, weights = frame["class_id"].to_numpy(), frame["copies"].to_numpy()
-        items = frame["items"].tolist()
-        sizes = np.array([len(x) for x in items])
-        flat = np.concatenate([items[k] for k in right]) if len(right) else np.zeros(0, np.int64)
-        owner = np.repeat(np.arange(len(right)), sizes[right])
-        order = np.argsort(flat, kind="stable")
-        flat, owner = flat[order], owner[order]
-        parent = np.arange(len(ids))
-        degree = np.zeros(len(ids), np.int64)
-        links: list[tuple[int, int]] = []
-        for k in left:
-            lo, hi = np.searchsorted(flat, items[k], "left"), np.searchsorted(flat, items[k], "right")
-            long = hi - lo
-            places = np.repeat(lo - np.concatenate([[0], np.cumsum(long)[:-1]]), long) + np.arange(long.sum())
-            shared = np.bincount(owner[places], minlength=len(right))
-            found = right[np.flatnonzero((100 * shared >= percent * (sizes[k] + sizes[right] - shared)) & (shared > 0))]
-            found = found[found > k] if inside else found
-            degree[k] += weights[found].sum()
-            degree[found] += weights[k]
-            for m in found:
-                a, b = _find(parent, int(k)), _find(parent, int(m))
-                if a != b:
-                    parent[max(a, b)] = min(a, b)
-                    links.append((int(ids[k]), int(ids[m])))
-        out = pd.DataFrame(links, columns=["a", "b"]).assign(links=0)
-        some = np.flatnonzero(degree)
-        counts = pd.DataFrame({"a": ids[some], "b": ids[some], "links": degree[some]})
-        return pd.concat([out, counts], ignore_index=True).astype({"a": "int64", "b": "int64", "links": "int64"})
+    members = sorted({(m[0], m[1]): m for m in members}.values(), key=lambda m: m[:2])
+    ids, weights = [m[1] for m in members], np.array([m[2] for m in members])
+    items, sizes = [m[3] for m in members], np.array([len(m[3]) for m in members])
+    side = np.array([m[0] for m in members])
+    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    inside = not len(right)
+    right = left if inside else right
+    flat = np.concatenate([items[k] for k in right])
+    owner = np.repeat(np.arange(len(right)), sizes[right])
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    parent, degree = np.arange(len(ids)), np.zeros(len(ids), np.int64)
+    links: list[tuple[int, int, int]] = []
+    for k in left:
+        lo, hi = np.searchsorted(flat, items[k], "left"), np.searchsorted(flat, items[k], "right")
+        long = hi - lo
+        places = np.repeat(lo - np.concatenate([[0], np.cumsum(long)[:-1]]), long) + np.arange(long.sum())
+        shared = np.bincount(owner[places], minlength=len(right))
+        found = right[(100 * shared >= percent * (sizes[k] + sizes[right] - shared)) & (shared > 0)]
+        found = found[found > k] if inside else found
+        degree[k] += weights[found].sum()
+        degree[found] += weights[k]
+        for m in found:
+            a, b = _find(parent, int(k)), _find(parent, int(m))
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                links.append((ids[k], ids[m], 0))
+    return links + [(ids[k], ids[k], int(degree[k])) for k in np.flatnonzero(degree)]
+
+
+def _compare(width: int, percent: int):
+    """Compare the blocks of this task. Rows come sorted by block pair; one pair is held at a time."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held, done = None, [], []
+        for batch in batches:
+            for part in portions(batch, "text"):
+                keys = list(zip(*(part.column(c).to_pylist() for c in ("cluster", "p", "q"))))
+                facts = list(zip(*(part.column(c).to_pylist() for c in ("side", "class_id", "copies"))))
+                for k, items in _named_sets(part, width):
+                    if keys[k] != key:
+                        done += compare_blocks(held, percent) if held else []
+                        key, held = keys[k], []
+                    held.append((*facts[k], items))
+            if done:
+                yield _link_rows(done)
+                done = []
+        if held:
+            yield _link_rows(compare_blocks(held, percent))
 
     return compare
 
 
+def _link_rows(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([r[k] for r in rows], pa.int64()) for k in range(3)], names=["a", "b", "links"]
+    )
+
+
 def connected_components(links: DataFrame, name: str = "components") -> DataFrame:
     """(node, component): the smallest node each node of the links (a, b) reaches.
 
@@ -262,23 +305,34 @@ def connected_components(links: DataFrame, name: str = "components") -> DataFram
             return labels.select("node", F.col("label").alias("component"))
 
 
+def _looked_up(df: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` with the columns of ``table`` where it has the keys; a small table is sent to every task."""
+    few = table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return df.join(F.broadcast(table) if few else table, keys, "left")
+
+
 def _postings(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(group_id, class_id, n, copies) and (token, group_id, n, members, weight) of shingles that several classes share.
 
     ``weight`` is the number of classes at the token, ``members`` of the group.
     """
-    grouped = classes.withColumn("prefix_hash", F.xxhash64("prefix"))
+    classes = classes.withColumn("prefix_hash", F.xxhash64("prefix"))
     keys = ["n", "prefix_hash"]
-    groups = grouped.groupBy(*keys).agg(
-        F.min("class_id").alias("group_id"), F.count("*").alias("members"), F.min_by("prefix", "class_id").alias("prefix")
+    several = classes.groupBy(*keys).agg(F.min("class_id").alias("group_id"), F.count("*").alias("members"))
+    several = keep(several.where("members > 1"), "ngram-groups")
+    grouped = _looked_up(classes, several, keys).select(
+        "class_id",
+        "copies",
+        "n",
+        "prefix",
+        F.coalesce("group_id", "class_id").alias("group_id"),
+        F.coalesce("members", F.lit(1)).alias("members"),
     )
-    groups = keep(groups, "ngram-groups")
-    members = grouped.select("class_id", "copies", *keys).join(groups.select("group_id", *keys), keys)
-    tokens = groups.select("group_id", "n", "members", F.explode("prefix").alias("token"))
+    tokens = grouped.where("class_id = group_id").select("group_id", "n", "members", F.explode("prefix").alias("token"))
     weight = F.sum("members").over(Window.partitionBy("token"))
     shared = tokens.withColumn("weight", weight).where("weight > 1")
     return (
-        keep(members.select("group_id", "class_id", "n", "copies"), "ngram-members"),
+        keep(grouped.select("group_id", "class_id", "n", "copies"), "ngram-members"),
         keep(shared, "ngram-postings"),
     )
 
@@ -308,59 +362,95 @@ def _hot_clusters(members: DataFrame, postings: DataFrame) -> DataFrame:
     return members.join(clusters, "group_id").select("class_id", "copies", "cluster")
 
 
+def _clusters(members: DataFrame, postings: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(class_id, copies, cluster) of classes that are compared cluster by cluster, and pairs (a, b) left to compare.
+
+    Hot clusters and pairs that hang together make one cluster as long as it fits a block;
+    beyond that, hot clusters stay apart and the pairs between them are compared one by one.
+    """
+    hot = keep(_hot_clusters(members, postings), "ngram-hot")
+    inside = hot.select("class_id", "cluster")
+    cold = _cold_pairs(members, postings, percent)
+    cold = cold.join(inside.toDF("a", "ca"), "a", "left").join(inside.toDF("b", "cb"), "b", "left")
+    cold = cold.where("ca is null or cb is null or ca <> cb")
+    cold = keep(cold.select("a", "b", F.coalesce("ca", "a").alias("na"), F.coalesce("cb", "b").alias("nb")), "ngram-pairs")
+    ends = cold.select("a").union(cold.select("b")).distinct().toDF("class_id").join(inside, "class_id", "left_anti")
+    ends = ends.join(members.select("class_id", "copies"), "class_id")
+    nodes = hot.select("class_id", "copies", "cluster", F.lit(True).alias("hot")).union(
+        ends.select("class_id", "copies", F.col("class_id").alias("cluster"), F.lit(False).alias("hot"))
+    )
+    whole = connected_components(cold.select(F.col("na").alias("a"), F.col("nb").alias("b")), "ngram-clusters")
+    nodes = nodes.join(whole, nodes.cluster == whole.node, "left").withColumn("whole", F.coalesce("component", "cluster"))
+    sizes = nodes.groupBy("whole").agg((F.count("*") <= BLOCK_CLASSES).alias("fits"))
+    nodes = keep(nodes.drop("node", "component").join(sizes, "whole"), "ngram-nodes")
+    clusters = nodes.where("fits or hot").select(
+        "class_id", "copies", F.when(F.col("fits"), F.col("whole")).otherwise(F.col("cluster")).alias("cluster")
+    )
+    apart = nodes.where("not fits").select(F.col("class_id").alias("a"))
+    return clusters, cold.join(apart, "a", "left_semi").select("a", "b")
+
+
 def link_classes(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(documents with set, links between classes, number of links by class)."""
+    """(documents with their class, links between classes, number of links by class)."""
     texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     counts = shingle_counts(texts, width)
-    schema = "doc_id long, n long, s1 long, s2 long, prefix array<long>"
+    schema = "row_id long, doc_id long, n long, s1 long, s2 long, prefix array<long>"
     features = keep(texts.mapInArrow(_features(width, percent, counts), schema), "ngram-features")
     sets = ["n", "s1", "s2"]
-    named = features.where("n > 0").groupBy(*sets).agg(
-        F.min("doc_id").alias("class_id"), F.count("*").alias("copies"), F.first("prefix").alias("prefix")
+    copied = features.where("n > 0").groupBy(*sets).agg(
+        F.min(F.struct("doc_id", "row_id")).alias("first"), F.count("*").alias("copies")
     )
-    classes = keep(named, "ngram-classes")
-    documents = features.select("doc_id", *sets).join(classes.select(*sets, "class_id", "copies"), sets, "left")
-
+    copied = keep(copied.where("copies > 1"), "ngram-copies")
+    rows = _looked_up(features, copied, sets).select(
+        "row_id",
+        "doc_id",
+        *sets,
+        "prefix",
+        F.coalesce("first.row_id", "row_id").alias("class_id"),
+        F.coalesce("first.doc_id", "doc_id").alias("class_doc"),
+        F.coalesce("copies", F.lit(1)).alias("copies"),
+    )
+    classes = rows.where("n > 0 and row_id = class_id")
+    documents = keep(rows.select("row_id", "doc_id", *sets, "class_id", "class_doc", "copies"), "ngram-documents")
     members, postings = _postings(classes.select("class_id", "copies", "n", "prefix"))
-    clusters = keep(_hot_clusters(members, postings), "ngram-clusters")
-    cold = _cold_pairs(members, postings, percent)
-    inside = clusters.select("class_id", "cluster")
-    cold = cold.join(inside.toDF("a", "ca"), "a", "left").join(inside.toDF("b", "cb"), "b", "left")
-    cold = keep(cold.where("ca is null or cb is null or ca <> cb").select("a", "b"), "ngram-pairs")
-
-    needed = cold.select("a").union(cold.select("b")).union(clusters.select("class_id")).distinct().toDF("class_id")
-    needed = needed.join(classes.select("class_id", *sets), "class_id")
-    wanted = texts.join(needed, texts.doc_id == needed.class_id).select("class_id", "text")
-    whole = wanted.mapInArrow(_sets(width), "class_id long, s1 long, s2 long, items array<long>")
-    # Several rows may carry the id: the one with the class's set counts.
-    whole = whole.join(needed.select("class_id", "s1", "s2"), ["class_id", "s1", "s2"], "left_semi")
-    whole = keep(whole.select("class_id", "items").dropDuplicates(["class_id"]), "ngram-sets")
-
-    pairs = cold.join(whole.toDF("a", "items_a"), "a").join(whole.toDF("b", "items_b"), "b")
-    cold_links = keep(pairs.mapInArrow(_verify(percent), "a long, b long"), "ngram-cold-links")
+    clusters, cold = _clusters(members, postings, percent)
+    cold = keep(cold, "ngram-apart")
 
     sizes = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK_CLASSES).cast("int").alias("blocks"))
     placed = clusters.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int"))
-    # A block meets every block: as the left side from its own number on, as the right side up to it.
-    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    placed = placed.select(
-        "cluster",
-        "class_id",
-        "copies",
-        F.least("block", "other").alias("p"),
-        F.greatest("block", "other").alias("q"),
-        (F.col("block") > F.col("other")).cast("int").alias("side"),
+    # A block meets every block of its cluster; the smaller number is side 0.
+    place = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda other: F.struct(
+            F.least("block", other).alias("p"),
+            F.greatest("block", other).alias("q"),
+            (F.col("block") > other).cast("int").alias("side"),
+        ),
     )
-    compared = placed.join(whole, "class_id").groupBy("cluster", "p", "q").applyInPandas(
-        _compare_blocks(percent), "a long, b long, links long"
+    placed = placed.select("class_id", "copies", "cluster", place.alias("places"))
+    ids = documents.where("row_id = class_id").select("class_id", F.col("doc_id").alias("rep"), "s1", "s2")
+    carried = texts.join(placed.join(ids, "class_id"), F.col("doc_id") == F.col("rep"))
+    carried = carried.select("class_id", "copies", "s1", "s2", "cluster", F.explode("places").alias("x"), "text")
+    carried = carried.select("class_id", "copies", "s1", "s2", "cluster", "x.p", "x.q", "x.side", "text")
+    blocks = carried.repartition(shuffle_partitions(docs.sparkSession), "cluster", "p", "q")
+    compared = blocks.sortWithinPartitions("cluster", "p", "q").mapInArrow(
+        _compare(width, percent), "a long, b long, links long"
     )
-    compared = keep(compared, "ngram-hot-links")
-    copies = classes.select(F.col("class_id").alias("b"), "copies")
-    ends = cold_links.union(cold_links.select("b", "a"))
-    degrees = ends.join(copies, "b").select("a", F.col("copies").alias("links"))
-    degrees = degrees.union(compared.where("a = b").select("a", "links")).groupBy("a").agg(F.sum("links").alias("links"))
-    links = cold_links.union(compared.where("a <> b").select("a", "b"))
-    return documents, links, degrees
+    compared = keep(compared, "ngram-cluster-links")
+
+    links = compared.where("a <> b").select("a", "b")
+    degrees = compared.where("a = b").select("a", "links")
+    if cold.take(1):
+        needed = cold.select("a").union(cold.select("b")).distinct().toDF("class_id").join(ids, "class_id")
+        whole = texts.join(needed, F.col("doc_id") == F.col("rep")).select("class_id", "s1", "s2", "text")
+        whole = keep(whole.mapInArrow(_sets(width), "class_id long, items array<long>"), "ngram-sets")
+        pairs = cold.join(whole.toDF("a", "items_a"), "a").join(whole.toDF("b", "items_b"), "b")
+        found = keep(pairs.mapInArrow(_verify(percent), "a long, b long").distinct(), "ngram-pair-links")
+        copies = documents.where("row_id = class_id").select(F.col("class_id").alias("b"), "copies")
+        ends = found.union(found.select("b", "a")).join(copies, "b")
+        links = links.union(found)
+        degrees = degrees.union(ends.select("a", F.col("copies").alias("links")))
+    return documents, links, degrees.groupBy("a").agg(F.sum("links").alias("links"))
 
 
 def ngram_jaccard_join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -370,28 +460,24 @@ def ngram_jaccard_join(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     rows the row links with, copies included.
     """
     documents, links, degrees = link_classes(docs, width, percent)
-    documents = keep(documents, "ngram-documents")
     # A doc_id of several sets is one node.
-    same = documents.where("class_id is not null and doc_id <> class_id").select(F.col("doc_id").alias("a"), F.col("class_id").alias("b"))
-    linked_ids = documents.where("n > 0").groupBy("doc_id").agg(F.count_distinct("class_id").alias("sets")).where("sets > 1")
-    bridges = same.join(linked_ids, F.col("a") == F.col("doc_id"), "left_semi")
-    components = connected_components(links.union(bridges))
-    node = documents.join(components, documents.class_id == components.node, "left").drop("node")
-    node = node.join(degrees, F.col("class_id") == F.col("a"), "left")
-    out = node.select(
+    filled = documents.where("n > 0")
+    bridges = filled.groupBy("doc_id").agg(F.min("class_id").alias("a"), F.max("class_id").alias("z")).where("a <> z")
+    bridges = filled.join(bridges, "doc_id").select("a", F.col("class_id").alias("b")).where("a <> b")
+    components = connected_components(links.union(bridges), "ngram-components")
+    rows = filled.join(components, filled.class_id == components.node, "left").drop("node")
+    rows = keep(rows.withColumn("component", F.coalesce("component", "class_id")), "ngram-rows")
+    least = rows.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    out = rows.join(least, "component").join(degrees, F.col("class_id") == F.col("a"), "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
-        F.coalesce("class_id", "doc_id").alias("class_id"),
-        F.coalesce("component", "class_id", "doc_id").alias("component_id"),
-        F.when(F.col("class_id").isNull(), F.lit(0))
-        .otherwise(F.col("copies") - 1 + F.coalesce("links", F.lit(0)))
-        .cast("long")
-        .alias("n_links"),
+        F.col("class_doc").alias("class_id"),
+        "component_id",
+        (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).cast("long").alias("n_links"),
     )
-    without = docs.where("doc_id is null").select("text")
-    lonely = without.select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("n_shingles"))
-    lonely = lonely.select("*", *(F.lit(None).cast("long").alias(c) for c in ("class_id", "component_id")), F.lit(0).cast("long").alias("n_links"))
-    return out.unionByName(lonely)
+    empty = documents.where("n = 0").select("doc_id", "n", "doc_id", "doc_id", F.lit(0).cast("long"))
+    unknown = docs.where("doc_id is null").select(*(F.lit(None).cast("long") for _ in range(4)), F.lit(0).cast("long"))
+    return out.union(empty.toDF(*out.columns)).union(unknown.toDF(*out.columns))
 
 
 def keep_one_of_each_component(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
