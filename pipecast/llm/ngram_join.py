@@ -429,7 +429,8 @@ def link_classes(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame,
     )
     placed = placed.select("class_id", "copies", "cluster", place.alias("places"))
     ids = documents.where("row_id = class_id").select("class_id", F.col("doc_id").alias("rep"), "s1", "s2")
-    carried = texts.join(placed.join(ids, "class_id"), F.col("doc_id") == F.col("rep"))
+    # Texts are joined by sorting at every size, so that small runs tell what large ones cost.
+    carried = texts.join(placed.join(ids, "class_id").hint("merge"), F.col("doc_id") == F.col("rep"))
     carried = carried.select("class_id", "copies", "s1", "s2", "cluster", F.explode("places").alias("x"), "text")
     carried = carried.select("class_id", "copies", "s1", "s2", "cluster", "x.p", "x.q", "x.side", "text")
     blocks = carried.repartition(shuffle_partitions(docs.sparkSession), "cluster", "p", "q")
@@ -442,7 +443,7 @@ def link_classes(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame,
     degrees = compared.where("a = b").select("a", "links")
     if cold.take(1):
         needed = cold.select("a").union(cold.select("b")).distinct().toDF("class_id").join(ids, "class_id")
-        whole = texts.join(needed, F.col("doc_id") == F.col("rep")).select("class_id", "s1", "s2", "text")
+        whole = texts.join(needed.hint("merge"), F.col("doc_id") == F.col("rep")).select("class_id", "s1", "s2", "text")
         whole = keep(whole.mapInArrow(_sets(width), "class_id long, items array<long>"), "ngram-sets")
         pairs = cold.join(whole.toDF("a", "items_a"), "a").join(whole.toDF("b", "items_b"), "b")
         found = keep(pairs.mapInArrow(_verify(percent), "a long, b long").distinct(), "ngram-pair-links")
@@ -483,5 +484,5 @@ def ngram_jaccard_join(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
 def keep_one_of_each_component(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with the smallest doc_id of each component; rows without doc_id stay. All columns as they were."""
     kept = ngram_jaccard_join(docs, width, percent).where("doc_id = component_id").select("doc_id").distinct()
-    known = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").select(*docs.columns)
+    known = docs.where("doc_id is not null").join(kept.hint("merge"), "doc_id", "left_semi").select(*docs.columns)
     return known.unionByName(docs.where("doc_id is null"))
