@@ -405,6 +405,36 @@ def test_toxicity_on_held_out_rows(spark):
     assert not wrong
 
 
+def test_toxicity_tells_whole_words_and_pairs_apart(spark):
+    """Toxic words that begin like ordinary ones, pairs of harmless words, letters of several bytes."""
+    harmless = ["worth", "worthy", "прикол", "red", "car"]
+    rows, labels = [], []
+    for k in range(1200):
+        toxic = [["worthless"], ["red", "car"], ["придурок"]][k // 6 % 3] if k % 6 == 0 else None
+        filler = [f"plain{(k * 7 + j) % 90}" for j in range(30)]
+        filler[10:10] = toxic or ["car", *harmless[:3], "plain", "red"]
+        if toxic:
+            filler[3:3], filler[25:25] = ["car"] + harmless[:3], ["red"]
+        rows.append((k, " ".join(filler), None, None, None, None))
+        labels.append((k, int(bool(toxic))))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    out = toxicity.toxicity(docs, toxicity.fit_toxicity(docs, spark.createDataFrame(labels, "doc_id long, toxic int")))
+    assert not [r for r in out.collect() if r.held_out and r.predicted != dict(labels)[r.doc_id]]
+
+
+def test_expressions_are_words_of_code_points():
+    import pyarrow as pa
+
+    texts = ["Worth worth worthless", "слово слон", "漢字xy 漢 字z", "", None, "ab"]
+    found = toxicity.Expressions(pa.array(texts))
+    assert found.owner.tolist() == [0, 0, 0, 1, 1, 2, 2, 2, 2, 2, 2, 5]
+    pair, word, begin = found.keys
+    assert word[0] == word[1] != word[2] and len({*begin[:3].tolist()}) == 1
+    assert begin[3] != begin[4]
+    assert (word[5], word[6]) == (word[8], word[9]) and pair[6] == pair[9]
+    assert found.follows.tolist() == [False, True, True, False, True, False] + [True] * 5 + [False]
+
+
 def test_toxicity_without_labels(docs, nothing, spark):
     marks = spark.createDataFrame([], "doc_id long, toxic int")
     model = toxicity.fit_toxicity(docs, marks)
