@@ -6,10 +6,16 @@ and scaled to length 1. Each language has up to ``centroids`` spherical k-means
 the nearest one by cosine gives the language and, as score, its cosine.
 
 Statistics: document frequencies cover all training rows. Centroids are fitted on a bounded
-sample, about ``sample_rows`` documents of each language chosen by a hash of the text.
+sample: of each language the ``sample_rows`` distinct texts with the smallest hashes, each
+weighted by its number of rows. A language with fewer distinct texts has all of them.
 
-Rejection by distance: each centroid has a radius, ``slack`` times the largest distance of
-its sample documents (at least ``least_radius``). A text outside the radius of its nearest
+k-means starts from random texts, drawn in proportion to their squared distance (k-means++).
+Clusters with less than LEAST_SHARE of the language's texts are dissolved.
+
+Rejection by distance: each centroid has a radius for each doubling of text length (short texts
+are farther from any centroid). It is the QUANTILE of the distances of its sample texts and of
+pieces cut from them, each against the centroid without that text, plus ``slack`` times what
+lies between it and the median (at least ``least_radius``). A text outside the radius of its nearest
 centroid is rejected, as is a text without a letter.
 
 Null text, text without a letter: ``und``, score 0, rejected. Without training rows every
@@ -25,24 +31,27 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pipecast.llm.store import fold
-from pipecast.llm.words import portions
 
 DIMS = 1 << 13
 SAMPLE_ROWS = 400
 CENTROIDS = 4
 ROUNDS = 8
-SLACK = 1.3
+SLACK = 0.5
 LEAST_RADIUS = 0.5
+LEAST_SHARE = 0.05
+QUANTILE = 0.99
+# Lengths are told apart by powers of two up to this one; pieces are cut in the lengths between.
+LENGTHS = 12
 UNKNOWN = "und"
 
 
 @dataclass(frozen=True)
 class CentroidModel:
-    """``centers`` has one row a centroid; ``langs`` and ``radii`` belong to its rows."""
+    """``centers`` has one row a centroid; ``langs`` and ``radii`` (by length) belong to its rows."""
 
     langs: list[str]
     centers: np.ndarray
@@ -98,6 +107,11 @@ def _unit(found: tuple[np.ndarray, np.ndarray], idf: np.ndarray) -> tuple[np.nda
     return slots, weights / (np.linalg.norm(weights) or 1.0)
 
 
+def _length(slots_and_counts: tuple[np.ndarray, np.ndarray]) -> int:
+    """The power of two of a text's length, which is about a third of its n-grams."""
+    return min(LENGTHS, int(slots_and_counts[1].sum() / 3 + 1).bit_length() - 1)
+
+
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Document frequencies of this task's texts; slot -1 counts the documents."""
     seen, docs = np.zeros(DIMS, np.int64), 0
@@ -113,50 +127,110 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
-def _vectors(idf: np.ndarray):
-    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sample(rows: int):
+    """Of this task's rows: for each language the distinct texts of the smallest hashes, and how often they occur."""
+
+    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[str, dict[int, list]] = {}
+        largest: dict[str, int] = {}
         for batch in batches:
-            for part in portions(batch, "text"):
-                langs, slots, weights = [], [], []
-                for lang, text in zip(part.column("lang").to_pylist(), part.column("text").to_pylist()):
-                    found = ngram_counts(text)
-                    if found is not None:
-                        s, w = _unit(found, idf)
-                        langs.append(lang)
-                        slots.append(s.astype(np.int32))
-                        weights.append(w.astype(np.float32))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(langs, pa.string()), pa.array(slots, pa.list_(pa.int32())), pa.array(weights, pa.list_(pa.float32()))],
-                    names=["lang", "slots", "weights"],
-                )
-
-    return vectors
-
-
-def cluster(points: np.ndarray, centroids: int, rounds: int) -> tuple[np.ndarray, np.ndarray]:
-    """Spherical k-means from far-apart starts: (centers, nearest centre of each point)."""
-    chosen = [0]
-    while len(chosen) < min(centroids, len(points)):
-        chosen.append(int(np.argmin((points @ points[chosen].T).max(axis=1))))
+            for lang, key, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "key", "text"))):
+                held = kept.setdefault(lang, {})
+                if key in held:
+                    held[key][1] += 1
+                elif key <= largest.get(lang, key) and any(c.isalpha() for c in text):
+                    held[key] = [text, 1]
+                    if len(held) >= 2 * rows:
+                        for last in sorted(held)[rows:]:
+                            del held[last]
+                        largest[lang] = max(held)
+        found = [(lang, key, *v) for lang, held in kept.items() for key, v in held.items()]
+        for at in range(0, len(found), 256):
+            langs, keys, texts, n = zip(*found[at : at + 256])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(langs, pa.string()), pa.array(keys, pa.int64()), pa.array(texts, pa.string()), pa.array(n, pa.int64())],
+                names=["lang", "key", "text", "n"],
+            )
+
+    return sample
+
+
+def cluster(points: np.ndarray, weights: np.ndarray, centroids: int, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    """Spherical k-means from random starts: (centers, nearest centre of each point); no stray clusters."""
+    draw = np.random.default_rng(len(points))
+    chance = weights / weights.sum()
+    chosen: list[int] = []
+    while len(chosen) < min(centroids, len(points)) and chance.sum() > 0:
+        chosen.append(int(draw.choice(len(points), p=chance / chance.sum())))
+        distance = np.maximum(1 - (points @ points[chosen].T).max(axis=1), 0)
+        distance[distance < 1e-6] = 0
+        chance = weights * distance.astype(float) ** 2
     centers = points[chosen]
-    for _ in range(rounds):
+    while True:
+        for _ in range(rounds):
+            near = np.argmax(points @ centers.T, axis=1)
+            used = [c for c in range(len(centers)) if (near == c).any()]
+            sums = np.stack([(points[near == c] * weights[near == c, None]).sum(axis=0) for c in used])
+            centers = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
         near = np.argmax(points @ centers.T, axis=1)
-        sums = np.stack([points[near == c].sum(axis=0) if (near == c).any() else centers[c] for c in range(len(centers))])
-        centers = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
-    return centers, np.argmax(points @ centers.T, axis=1)
-
-
-def _fit_language(dims: int, centroids: int, rounds: int):
+        sizes = np.bincount(near, minlength=len(centers))
+        if len(centers) == 1 or sizes.min() >= LEAST_SHARE * len(points):
+            return centers, near
+        centers = np.delete(centers, int(np.argmin(sizes)), axis=0)
+
+
+def _radii(distances: list[list[float]], slack: float, least: float) -> np.ndarray:
+    """A radius a length: no longer text has a larger one; lengths without a distance take their neighbour's."""
+    out = np.zeros(LENGTHS + 1)
+    for k, found in enumerate(distances):
+        if found:
+            high, middle = np.quantile(found, [QUANTILE, 0.5])
+            out[k] = high + slack * (high - middle)
+    out = np.maximum.accumulate(out[::-1])[::-1]
+    filled = np.flatnonzero(out)
+    if len(filled):
+        out[filled[-1] :] = out[filled[-1]]
+    return np.maximum(out, least)
+
+
+def _pieces(text: str) -> Iterator[str]:
+    """The text, and pieces from its middle in all shorter lengths."""
+    yield text
+    for k in range(3, LENGTHS):
+        size = 3 << (k - 1)
+        if size < len(text):
+            for part in (1, 2):
+                at = (len(text) - size) * part // 3
+                yield text[at : at + size]
+
+
+def _fit_language(idf: np.ndarray, centroids: int, rounds: int, slack: float, least: float):
     def fit(frame: pd.DataFrame) -> pd.DataFrame:
-        points = np.zeros((len(frame), dims), np.float32)
-        for k, (slots, weights) in enumerate(zip(frame["slots"], frame["weights"])):
-            points[k, slots] = weights
-        points = points[np.lexsort(points[:, :64].T)]
-        centers, near = cluster(points, centroids, rounds)
-        cosine = (points * centers[near]).sum(axis=1)
-        far = [float((1 - cosine[near == c]).max()) if (near == c).any() else 0.0 for c in range(len(centers))]
+        frame = frame.sort_values("key")
+        points = np.zeros((len(frame), len(idf)), np.float32)
+        for k, text in enumerate(frame["text"]):
+            slots, values = _unit(ngram_counts(text), idf)
+            points[k, slots] = values
+        weights = frame["n"].to_numpy(float)
+        centers, near = cluster(points, weights, centroids, rounds)
+        distances = [[[] for _ in range(LENGTHS + 1)] for _ in centers]
+        sums = np.stack([(points[near == c] * weights[near == c, None]).sum(axis=0) for c in range(len(centers))])
+        for k, text in enumerate(frame["text"]):
+            rest = sums[near[k]] - weights[k] * points[k]
+            size = np.linalg.norm(rest)
+            if size < 1e-3:  # the only text of its centroid says nothing of others
+                continue
+            for piece in _pieces(text):
+                found = ngram_counts(piece)
+                if found is not None:
+                    slots, values = _unit(found, idf)
+                    distances[near[k]][_length(found)].append(1 - float(rest[slots] @ values) / size)
+        every = [sum((d[k] for d in distances), []) for k in range(LENGTHS + 1)]
+        radii = [_radii(d if any(d) else every, slack, least) for d in distances]
+        if not any(every):  # a single text: nothing tells how far others may be
+            radii = [np.ones(LENGTHS + 1)] * len(centers)
         return pd.DataFrame(
-            {"lang": frame["lang"].iloc[0], "center": [c.astype(np.float32).tobytes() for c in centers], "far": far}
+            {"lang": frame["lang"].iloc[0], "center": [c.astype(np.float32).tobytes() for c in centers], "radii": radii}
         )
 
     return fit
@@ -182,17 +256,17 @@ def fit_centroids(
         else:
             idf[slot] = n
     idf = np.log((1 + documents) / (1 + idf)) + 0.1
-    share = F.least(F.lit(1.0), F.lit(float(sample_rows)) / F.col("n"))
-    shares = rows.groupBy("lang").agg(F.count("*").alias("n")).select("lang", share.alias("share"))
-    spread = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
-    chosen = rows.withColumn("u", spread).join(shares, "lang").where("u < share").select("lang", "text")
-    vectors = chosen.mapInArrow(_vectors(idf), "lang string, slots array<int>, weights array<float>")
-    fitted = vectors.groupBy("lang").applyInPandas(
-        _fit_language(DIMS, centroids, ROUNDS), "lang string, center binary, far double"
+    keyed = rows.where("text is not null").withColumn("key", F.xxhash64("text"))
+    drawn = keyed.mapInArrow(_sample(sample_rows), "lang string, key long, text string, n long")
+    drawn = drawn.groupBy("lang", "key").agg(F.min("text").alias("text"), F.sum("n").alias("n"))
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("key"))
+    chosen = drawn.withColumn("place", first).where(F.col("place") <= sample_rows).drop("place")
+    fitted = chosen.groupBy("lang").applyInPandas(
+        _fit_language(idf, centroids, ROUNDS, slack, least_radius), "lang string, center binary, radii array<double>"
     )
     learned = sorted(fitted.collect(), key=lambda r: (r.lang, r.center))
     centers = np.stack([np.frombuffer(r.center, np.float32) for r in learned]) if learned else np.zeros((0, DIMS), np.float32)
-    radii = np.array([max(least_radius, slack * r.far) for r in learned])
+    radii = np.array([r.radii for r in learned])
     return CentroidModel([r.lang for r in learned], centers, radii, idf)
 
 
@@ -211,7 +285,7 @@ def predictor(model: CentroidModel):
                 cosines = model.centers[:, slots] @ weights
                 best = int(np.argmax(cosines))
                 score = float(min(1.0, max(0.0, cosines[best])))
-                lang, out = model.langs[best], bool(1 - score > model.radii[best])
+                lang, out = model.langs[best], bool(1 - score > model.radii[best, _length(found)])
             langs.append(lang)
             scores.append(score)
             rejected.append(out)

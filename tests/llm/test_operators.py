@@ -452,6 +452,45 @@ def test_language_on_held_out_rows(spark):
     assert language_id.keep_identified(docs, model).count() >= 0.99 * docs.count()
 
 
+def test_language_of_clean_short_texts_and_gibberish(spark):
+    import numpy as np
+
+    docs = read(spark, "/root/testdata/sf0.01", "documents")
+    model = language_id.fit_centroids(language_id.training_rows(docs))
+    rows = docs.where("lang is not null").collect()
+    draw = np.random.default_rng(5)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    odd = [" ".join("".join(draw.choice(letters, 6)) for _ in range(n)) for n in (20, 60, 200) for _ in range(40)]
+    short = [(k, r.text[len(r.text) // 2 :][:60], r.lang, None, None, None) for k, r in enumerate(rows) if len(r.text or "") > 200]
+    texts = spark.createDataFrame([*short, *[(-1 - k, t, None, None, None, None) for k, t in enumerate(odd)]], SCHEMA)
+    out = language_id.identify(texts, model).join(texts.select("doc_id", "lang"), "doc_id").collect()
+    assert sum(r.rejected for r in out if r.doc_id < 0) >= 0.95 * len(odd)
+    for lang in {r.lang for r in rows}:
+        clean = [r for r in out if r.doc_id >= 0 and r.lang == lang]
+        assert sum(not r.rejected for r in clean) >= 0.95 * len(clean)
+
+
+def test_clusters_are_no_strays():
+    import numpy as np
+
+    draw = np.random.default_rng(1)
+    points = np.abs(draw.normal(0, 0.05, (100, 16))).astype(np.float32)
+    points[:50, 0] = points[50:97, 1] = points[97, 5] = points[98, 6] = points[99, 7] = 1
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    _, near = language_id.cluster(points, np.ones(100), 4, 8)
+    assert np.bincount(near).min() >= 5
+
+
+def test_languages_of_few_distinct_texts_are_learned(spark):
+    rows = [(k, f"slovo jazyk veta {k % 10} text{'abcdefghij'[k % 10]}", "cs", None, None, None) for k in range(20_000)]
+    rows += [(k, "kind words in this text " + "abcdefgh"[k % 8] * (k % 50 + 1), "en", None, None, None) for k in range(20_000, 21_000)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    model = language_id.fit_centroids(docs, sample_rows=40)
+    assert set(model.langs) == {"cs", "en"}
+    wrong = language_id.identify(docs, model).join(docs.select("doc_id", "lang"), "doc_id").where("lang <> lang_pred")
+    assert wrong.count() == 0
+
+
 def test_language_of_odd_texts(docs, nothing):
     model = language_id.fit_centroids(language_id.training_rows(docs))
     out = language_id.identify(docs, model)
