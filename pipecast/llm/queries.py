@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
+from pipecast.llm.alignment import align_tokenizers
 from pipecast.llm.chat import format_chats
 from pipecast.llm.exact_dedup import exact_duplicates
 from pipecast.llm.fingerprints import document_fingerprints
@@ -15,10 +16,12 @@ from pipecast.llm.lattice import lattice_scores
 from pipecast.llm.mixing import mix
 from pipecast.llm.ngram_join import ngram_jaccard_join
 from pipecast.llm.pieces import round_trip
+from pipecast.llm.quality import fit_quality, quality
 from pipecast.llm.store import read
 from pipecast.llm.substrings import deduplicate_substrings
 from pipecast.llm.toxicity import fit_toxicity, toxicity
 from pipecast.llm.vocabulary import load_vocabulary
+from pipecast.llm.whitening import fit_whitening, whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,6 +68,20 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_chats(read(spark, sf_dir, "conversations"))
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return quality(docs, fit_quality(docs, read(spark, sf_dir, "labels")))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    return whiten(vectors, fit_whitening(vectors))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(read(spark, sf_dir, "documents"))
+
+
 OP10_SQL = r"""
 WITH turns AS (
   SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL
@@ -109,6 +126,9 @@ def queries() -> dict[str, Query]:
         "op8_substring_dedup": op8_substring_dedup,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_chat_format": op10_chat_format,
+        "op11_quality": op11_quality,
+        "op12_whitening": op12_whitening,
+        "op13_token_alignment": op13_token_alignment,
         "pipeline": corpus_pipeline.run,
     }
 
