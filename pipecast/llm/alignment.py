@@ -7,18 +7,23 @@ dictionary from end to token index; the keys that both hold, sorted, cut the two
 Within a group the tokens whose bytes overlap are linked: each stretch between two neighbouring ends of
 either side lies in one token of each, so every stretch is one link.
 
-Counting over the corpus: tasks take texts in portions of bounded size, number the different id pairs
-of a portion and keep, for each document, the numbers of its pairs and how often it has them. Spark
-adds the portions' counts of each pair, joins the totals to the portions' pairs, and each portion's
-documents look their totals up by number. What moves is a row for each portion and pair, not one for
-each link, so a pair that occurs everywhere costs a row a portion.
+A single space between two visible characters (``EDGES``) starts a token in A and in B whatever stands
+around it: A's pattern ends a run there, and B has no piece with a mark after another character. Both
+encodings have an end there, so groups and links on either side are those of the parts alone. A text is
+therefore aligned part by part, and a task aligns a part that it has seen before only once.
+
+Counting over the corpus: tasks take texts in portions of bounded size. A portion numbers its different
+parts and the different id pairs of their links, and counts the pairs; a document keeps the numbers of
+its parts and how often it has them. Spark adds the portions' counts of each pair, joins the totals to
+the portions' pairs, and each portion's documents add up the totals by number. What moves is a row for
+each portion and pair, not one for each link, so a pair that occurs everywhere costs a row a portion.
 
 Odd rows:
 
 * A null or empty text, and one whose tokens' bytes differ from a space and the text (for example one
   that contains U+2581), has no tokens: all numbers are 0 and ``groups_sha256`` is ''.
-* Texts of any length are encoded in stretches that end before a single space between ASCII letters or
-  digits, where neither tokenizer has a token that crosses; results are those of the whole text.
+* Texts of any length are read whole, in blocks that end at such a space; a part without one is encoded
+  at once.
 * Repeated rows, equal texts and null ids are rows like all others and count each time. Only ``doc_id``
   and ``text`` are read. An empty table gives an empty result.
 """
@@ -26,13 +31,14 @@ Odd rows:
 from __future__ import annotations
 
 import hashlib
-import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,10 +51,13 @@ BYTE_VOCABULARY_FILE = "/opt/tokenizers/byte_bpe_50k.json"
 
 # Texts of a portion have about so many bytes; its documents later meet in one task.
 PORTION_BYTES = 8_000_000
-# A tokenizer gets about so many characters at once: its own results are far larger than the ids.
-STRETCH = 250_000
+# Texts are taken apart in blocks of about so many characters.
+BLOCK = 250_000
+# A task forgets the parts it has aligned when they have more characters than this.
+REMEMBERED = 4_000_000
 
-_CUT = re.compile(r"(?<=[A-Za-z0-9]) (?=[A-Za-z0-9])")
+# Characters on both sides of a space at which texts are cut: visible ASCII and Latin letters.
+EDGES = frozenset(map(chr, [*range(0x21, 0x7F), *range(0xC0, 0x250)]))
 
 
 def _byte_characters() -> dict[str, int]:
@@ -65,10 +74,6 @@ class Side:
     encode: object
     tokens: list[bytes]
 
-    @property
-    def lengths(self) -> np.ndarray:
-        return np.array([len(t) for t in self.tokens], np.int64)
-
 
 @lru_cache(maxsize=2)
 def byte_side(path: str) -> Side:
@@ -108,172 +113,207 @@ def piece_side(path: str) -> Side:
     return Side(encode, tokens)
 
 
-def stretches(text: str, size: int = STRETCH) -> list[str]:
-    """Pieces that join to ``text``; each but the first begins with the space it was cut at."""
-    out, at = [], 0
+def parts_of(text: str, plain: set[str] | dict[str, int] = frozenset()) -> list[str]:
+    """``text`` cut at its single spaces between visible characters; joined by spaces they give it back.
+
+    ``plain`` holds parts known to begin and end with such characters.
+    """
+    pieces = text.split(" ")
+    if all(p in plain or (p and p[0] in EDGES and p[-1] in EDGES) for p in pieces):
+        return pieces
+    out, open_ = [], [pieces[0]]
+    for before, piece in zip(pieces, pieces[1:]):
+        if before and piece and before[-1] in EDGES and piece[0] in EDGES:
+            out.append(" ".join(open_))
+            open_ = [piece]
+        else:
+            open_.append(piece)
+    return [*out, " ".join(open_)]
+
+
+def blocks_of(text: str, size: int = BLOCK) -> Iterator[str]:
+    """Blocks of about ``size`` characters that give ``text`` when joined by spaces, cut where parts are."""
+    at = 0
     while len(text) - at > size:
-        cut = _CUT.search(text, at + size)
-        if cut is None:
+        cut = text.find(" ", at + size)
+        while cut > 0 and not (cut + 1 < len(text) and text[cut - 1] in EDGES and text[cut + 1] in EDGES):
+            cut = text.find(" ", cut + 1)
+        if cut < 0:
             break
-        out.append(text[at : cut.start()])
-        at = cut.start()
-    return [*out, text[at:]]
-
-
-def encode_both(texts: list[str], a: Side, b: Side, size: int = STRETCH) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(ids of A, ids of B) of each text."""
-    queue: list[tuple[int, str]] = []
-    waiting = 0
-    parts: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in texts]
-
-    def flush() -> None:
-        pieces = [piece for _, piece in queue]
-        for (number, _), ids_a, ids_b in zip(queue, a.encode(pieces), b.encode([p[1:] for p in pieces])):
-            parts[number].append((np.array(ids_a, np.int64), np.array(ids_b, np.int64)))
-        queue.clear()
-
-    for number, text in enumerate(texts):
-        for piece in stretches(" " + text, size):
-            queue.append((number, piece))
-            waiting += len(piece)
-            if waiting >= size:
-                flush()
-                waiting = 0
-    flush()
-    for part in parts:
-        yield np.concatenate([p[0] for p in part]), np.concatenate([p[1] for p in part])
+        yield text[at:cut]
+        at = cut + 1
+    yield text[at:]
 
 
 class Aligner:
-    """Aligns the texts of a portion; ids of both sides and links are kept flat for all of them."""
-
-    def __init__(self, a: Side, b: Side) -> None:
-        self.a, self.b = a, b
-        self.lengths_a, self.lengths_b = a.lengths, b.lengths
-        # Written ids with the sign that follows: within a group, at its end, on either side.
-        self.marked = [f"{i}{sign}" for side, signs in ((a, ",|"), (b, ",;")) for sign in signs for i in range(len(side.tokens))]
-
-    def groups(self, ends_a: list[int], ends_b: list[int]) -> tuple[np.ndarray, np.ndarray]:
-        """Token indices at which each group ends, in A and in B."""
-        index_a = dict(zip(ends_a, range(len(ends_a))))
-        index_b = dict(zip(ends_b, range(len(ends_b))))
-        common = sorted(index_a.keys() & index_b.keys())
-        return np.array([index_a[e] for e in common]), np.array([index_b[e] for e in common])
-
-    def written(self, ids_a: np.ndarray, ids_b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> str:
-        """All groups as text: A's ids, a bar, B's ids; groups apart by semicolons."""
-        n_a, n_b = len(ids_a), len(ids_b)
-        kinds_a, kinds_b = np.zeros(n_a, np.int64), np.zeros(n_b, np.int64)
-        kinds_a[last_a] = kinds_b[last_b] = 1
-        group_a, group_b = np.cumsum(kinds_a) - kinds_a, np.cumsum(kinds_b) - kinds_b
-        before_b = np.concatenate([[0], last_b + 1])  # tokens of B ahead of each group
-        out = np.empty(n_a + n_b, np.int64)
-        size_a, size_b = len(self.a.tokens), len(self.b.tokens)
-        out[np.arange(n_a) + before_b[group_a]] = ids_a + kinds_a * size_a
-        out[np.arange(n_b) + last_a[group_b] + 1] = ids_b + 2 * size_a + kinds_b * size_b
-        return "".join(map(self.marked.__getitem__, out.tolist()))[:-1]
-
-    def links(self, ids_a: np.ndarray, ids_b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> np.ndarray:
-        """One number for each link: A's id times B's number of ids plus B's id.
-
-        Ends that both sides share close a group; the other ends cut its slices into stretches, each of
-        which lies in one token of either side.
-        """
-        ends = np.union1d(ends_a, ends_b)
-        linked_a = ids_a[np.searchsorted(ends_a, ends)]
-        return linked_a * len(self.b.tokens) + ids_b[np.searchsorted(ends_b, ends)]
-
-    def align(self, text: str | None, ids_a: np.ndarray, ids_b: np.ndarray) -> tuple[int, int, int, str, np.ndarray]:
-        """(n_a, n_b, n_groups, digest of the groups, links)."""
-        none = (0, 0, 0, "", np.zeros(0, np.int64))
-        if not text:
-            return none
-        whole = b" " + text.encode()
-        a, b = self.a.tokens, self.b.tokens
-        if b"".join([a[i] for i in ids_a.tolist()]) != whole or b"".join([b[i] for i in ids_b.tolist()]) != whole:
-            return none
-        ends_a, ends_b = np.cumsum(self.lengths_a[ids_a]), np.cumsum(self.lengths_b[ids_b])
-        last_a, last_b = self.groups(ends_a.tolist(), ends_b.tolist())
-        digest = hashlib.sha256(self.written(ids_a, ids_b, last_a, last_b).encode()).hexdigest()
-        return len(ids_a), len(ids_b), len(last_a), digest, self.links(ids_a, ids_b, ends_a, ends_b)
+    """Aligns parts of texts and remembers them by number: sizes, written groups and links."""
+
+    def __init__(self, a: Side, b: Side, remembered: int = REMEMBERED) -> None:
+        self.a, self.b, self.remembered = a, b, remembered
+        self.forget()
+
+    def forget(self) -> None:
+        self.numbers: dict[str, int] = {}
+        self.written: list[str] = []
+        self.characters = 0
+        self.whole = array("b")  # whether both sides' tokens give the part's bytes
+        self.n_a, self.n_b, self.n_groups = array("q"), array("q"), array("q")
+        self.links, self.ends = array("q"), array("q", [0])
+
+    def number(self, text: str, size: int = BLOCK) -> tuple[np.ndarray, str]:
+        """(numbers of the parts in order, digest of their written groups); the digest is '' if some part differs."""
+        found, digest, first = array("i"), hashlib.sha256(), True
+        for block in blocks_of(text, size):
+            parts = parts_of(block, self.numbers)
+            new = [p for p in dict.fromkeys(parts) if p not in self.numbers]
+            for at in range(0, len(new), 4096):
+                self.learn(new[at : at + 4096])
+            numbers = array("i", map(self.numbers.__getitem__, parts))
+            digest.update((";" * (not first) + ";".join(map(self.written.__getitem__, numbers))).encode())
+            found.extend(numbers)
+            first = False
+        codes = np.frombuffer(found, np.int32)
+        whole = np.frombuffer(self.whole, np.int8)[codes].all()
+        return codes, digest.hexdigest() if whole else ""
+
+    def learn(self, parts: list[str]) -> None:
+        """Encode and align new parts."""
+        a, b, size_b = self.a.tokens, self.b.tokens, len(self.b.tokens)
+        for part, ids_a, ids_b in zip(parts, self.a.encode([" " + p for p in parts]), self.b.encode(parts)):
+            tokens_a, tokens_b = [a[i] for i in ids_a], [b[i] for i in ids_b]
+            joined = (" " + part).encode()
+            whole = b"".join(tokens_a) == joined and b"".join(tokens_b) == joined
+            groups, links = align(ids_a, tokens_a, ids_b, tokens_b) if whole else ([], [])
+            self.numbers[part] = len(self.written)
+            self.characters += len(part)
+            self.whole.append(whole)
+            self.n_a.append(len(ids_a))
+            self.n_b.append(len(ids_b))
+            self.n_groups.append(len(groups))
+            self.written.append(";".join([f"{','.join(map(str, p))}|{','.join(map(str, q))}" for p, q in groups]))
+            self.links.extend([i * size_b + j for i, j in links])
+            self.ends.append(len(self.links))
+
+
+def align(ids_a: list[int], tokens_a: list[bytes], ids_b: list[int], tokens_b: list[bytes]) -> tuple[list, list]:
+    """(groups as pairs of id lists, linked id pairs) of two encodings of the same bytes."""
+    if len(ids_a) == len(ids_b) == 1:
+        return [(ids_a, ids_b)], [(ids_a[0], ids_b[0])]
+    ends = [], []
+    for own, tokens in zip(ends, (tokens_a, tokens_b)):
+        end = 0
+        for token in tokens:
+            end += len(token)
+            own.append(end)
+    index_a, index_b = ({end: k for k, end in enumerate(own)} for own in ends)
+    groups, links = [], []
+    from_a = from_b = 0
+    for end in sorted(index_a.keys() & index_b.keys()):
+        to_a, to_b = index_a[end] + 1, index_b[end] + 1
+        groups.append((ids_a[from_a:to_a], ids_b[from_b:to_b]))
+        # Both lists of the slice end here; whichever token ends first makes way for the next of its side.
+        i, j = from_a, from_b
+        while i < to_a and j < to_b:
+            links.append((ids_a[i], ids_b[j]))
+            here_a, here_b = ends[0][i], ends[1][j]
+            i += here_a <= here_b
+            j += here_b <= here_a
+        from_a, from_b = to_a, to_b
+    return groups, links
 
 
 _COLUMNS = (
     "portion long, is_pairs boolean, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
-    "pairs array<long>, codes array<int>, times array<int>"
+    "pairs array<long>, codes array<int>, times array<int>, links array<int>, ends array<int>"
 )
 
 
-def _aligned(paths: tuple[str, str], portion_bytes: int):
-    """Documents with their numbered pairs, and after those of a portion one row with its pairs and counts."""
+def _whole_lists(*arrays: np.ndarray) -> list[pa.Array]:
+    """List columns of one row each."""
+    return [lists(x, np.array([0, len(x)]), pa.from_numpy_dtype(x.dtype)) for x in arrays]
+
+
+def _portion_of(part: pa.RecordBatch, aligner: Aligner, number: int, names: list[str]) -> Iterator[pa.RecordBatch]:
+    """The documents of a portion, then one row with its id pairs, their counts and the links of its parts."""
+    if aligner.characters > aligner.remembered:
+        aligner.forget()
+    found = [aligner.number(t) if t else (np.zeros(0, np.int32), "") for t in part.column("text").to_pylist()]
+    found = [(codes if digest else codes[:0], digest) for codes, digest in found]
+    n = len(found)
+    used, codes = np.unique(np.concatenate([f[0] for f in found]), return_inverse=True)
+    owner = np.repeat(np.arange(n), [len(f[0]) for f in found])
+    size = max(len(used), 1)
+    held, times = np.unique(owner * size + codes, return_counts=True)
+    owner, codes = held // size, held % size
+    bounds = np.searchsorted(owner, np.arange(n + 1))
+    firsts, lasts = np.frombuffer(aligner.ends, np.int64)[:-1][used], np.frombuffer(aligner.ends, np.int64)[1:][used]
+    counts = lasts - firsts
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    flat = np.frombuffer(aligner.links, np.int64)[np.arange(ends[-1]) + np.repeat(firsts - ends[:-1], counts)]
+    pairs, links = np.unique(flat, return_inverse=True)
+    occurs = np.bincount(codes, times, len(used)).astype(np.int64)  # of each part in the portion
+    totals = np.bincount(links, np.repeat(occurs, counts), len(pairs)).astype(np.int64)
 
+    def sums(values: np.ndarray) -> pa.Array:
+        return pa.array(np.bincount(owner, values[codes] * times, n).astype(np.int64))
+
+    sizes = [np.frombuffer(x, np.int64)[used] for x in (aligner.n_a, aligner.n_b, aligner.n_groups)]
+    none = [pa.nulls(n, pa.list_(pa.int32()))]
+    yield pa.RecordBatch.from_arrays(
+        [
+            part.column("doc_id"),
+            pa.array(np.full(n, number)),
+            pa.array(np.zeros(n, bool)),
+            *[sums(x) for x in (*sizes, counts)],
+            pa.array([f[1] for f in found], pa.string()),
+            pa.nulls(n, pa.list_(pa.int64())),
+            lists(codes.astype(np.int32), bounds, pa.int32()),
+            lists(times.astype(np.int32), bounds, pa.int32()),
+            *none * 2,
+        ],
+        names=names,
+    )
+    if len(pairs):
+        row = [pa.nulls(1, part.column("doc_id").type), pa.array([number]), pa.array([True])]
+        row += [pa.nulls(1, pa.int64())] * 4 + [pa.nulls(1, pa.string())]
+        numbers = np.arange(len(pairs), dtype=np.int32)
+        row += _whole_lists(pairs, numbers, totals.astype(np.int32), links.astype(np.int32), ends.astype(np.int32))
+        yield pa.RecordBatch.from_arrays(row, names=names)
+
+
+def _aligned(paths: tuple[str, str], portion_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = Aligner(byte_side(paths[0]), piece_side(paths[1]))
         number = TaskContext.get().partitionId() << 32
         names = ["doc_id", *[c.split()[0] for c in _COLUMNS.split(", ")]]
         for batch in batches:
             for part in portions(batch, "text", portion_bytes):
-                texts = part.column("text").to_pylist()
-                encoded = encode_both([t or "" for t in texts], aligner.a, aligner.b)
-                rows = [aligner.align(text, *ids) for text, ids in zip(texts, encoded)]
-                counts = np.array([len(r[4]) for r in rows], np.int64)
-                pairs, codes = np.unique(np.concatenate([r[4] for r in rows]), return_inverse=True)
-                # How often each document has each of its pairs.
-                owner = np.repeat(np.arange(len(rows)), counts)
-                held, times = np.unique(owner * max(len(pairs), 1) + codes, return_counts=True)
-                bounds = np.searchsorted(held, np.arange(len(rows) + 1) * max(len(pairs), 1))
-                totals = np.bincount(codes, minlength=len(pairs))
-                n = len(rows)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("doc_id"),
-                        pa.array(np.full(n, number)),
-                        pa.array(np.zeros(n, bool)),
-                        *[pa.array([r[k] for r in rows], pa.int64()) for k in range(3)],
-                        pa.array(counts),
-                        pa.array([r[3] for r in rows], pa.string()),
-                        pa.nulls(n, pa.list_(pa.int64())),
-                        lists((held % max(len(pairs), 1)).astype(np.int32), bounds, pa.int32()),
-                        lists(times.astype(np.int32), bounds, pa.int32()),
-                    ],
-                    names=names,
-                )
-                if len(pairs):
-                    whole = np.array([0, len(pairs)])
-                    empty = [pa.nulls(1, part.column("doc_id").type), pa.array([number]), pa.array([True])]
-                    empty += [pa.nulls(1, pa.int64())] * 4 + [pa.nulls(1, pa.string())]
-                    table = [
-                        lists(pairs, whole, pa.int64()),
-                        lists(np.arange(len(pairs), dtype=np.int32), whole, pa.int32()),
-                        lists(totals.astype(np.int32), whole, pa.int32()),
-                    ]
-                    yield pa.RecordBatch.from_arrays([*empty, *table], names=names)
+                yield from _portion_of(part, aligner, number, names)
                 number += 1
 
     return run
 
 
 def _look_up(left: pa.Table, right: pa.Table) -> pa.Table:
-    """Each document's sums from its portion's totals: ``right`` has a row for each pair number."""
-    size = right.num_rows
-    total, best = np.zeros(size, np.int64), np.zeros(size, bool)
-    codes = right["code"].to_numpy()
-    total[codes] = right["total"].to_numpy()
-    best[codes] = right["is_best"].to_numpy()
-    left = left.combine_chunks()
-    held = left["codes"].combine_chunks()
-    bounds = np.concatenate([[0], np.cumsum(held.value_lengths().to_numpy(zero_copy_only=False))])
-    codes = held.flatten().to_numpy()
-    times = left["times"].combine_chunks().flatten().to_numpy().astype(np.int64)
-
-    def sums(values: np.ndarray) -> pa.Array:
-        running = np.concatenate([[0], np.cumsum(values)])
-        return pa.array(running[bounds[1:]] - running[bounds[:-1]])
-
-    out = left.select(["doc_id", "n_a", "n_b", "n_groups", "n_links"])
-    out = out.append_column("n_best", sums(best[codes] * times) if size else pa.array(np.zeros(len(left), np.int64)))
-    out = out.append_column("count_sum", sums(total[codes] * times) if size else pa.array(np.zeros(len(left), np.int64)))
-    return out.append_column("groups_sha256", left["groups_sha256"])
+    """Sums of a portion's documents. ``left`` has them and a row with the links of its parts, ``right`` the pairs' totals."""
+    table = left.filter(left["is_pairs"]).combine_chunks()
+    rows = left.filter(pc.invert(left["is_pairs"])).combine_chunks()
+    out = rows.select(["doc_id", "n_a", "n_b", "n_groups", "n_links"])
+    if table.num_rows:
+        total, best = np.zeros(right.num_rows, np.int64), np.zeros(right.num_rows, np.int64)
+        codes = right["code"].to_numpy()
+        total[codes], best[codes] = right["total"].to_numpy(), right["is_best"].to_numpy()
+        links, ends = (table[c].combine_chunks().flatten().to_numpy() for c in ("links", "ends"))
+        held = rows["codes"].combine_chunks()
+        owner = np.repeat(np.arange(rows.num_rows), held.value_lengths().to_numpy(zero_copy_only=False))
+        parts, times = held.flatten().to_numpy(), rows["times"].combine_chunks().flatten().to_numpy().astype(np.int64)
+    for name in ("n_best", "count_sum"):
+        sums = np.zeros(rows.num_rows, np.int64)
+        if table.num_rows:
+            values = np.concatenate([[0], np.cumsum((best if name == "n_best" else total)[links])])
+            np.add.at(sums, owner, (values[ends[1:]] - values[ends[:-1]])[parts] * times)
+        out = out.append_column(name, pa.array(sums))
+    return out.append_column("groups_sha256", rows["groups_sha256"])
 
 
 def pair_counts(aligned: DataFrame, size_b: int) -> DataFrame:
@@ -300,6 +340,6 @@ def align_tokenizers(
     held = aligned.where("is_pairs").select(F.col("portion").alias("of"), F.explode(F.arrays_zip("pairs", "codes")).alias("x"))
     known = held.select("of", F.col("x.codes").alias("code"), F.col("x.pairs").alias("pair"))
     known = known.join(pair_counts(aligned, size_b), "pair").select("of", "code", "total", "is_best")
-    rows = aligned.where("not is_pairs").drop("pairs", "is_pairs")
+    rows = aligned.drop("pairs")
     schema = f"doc_id {kind}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
     return rows.groupBy("portion").cogroup(known.groupBy("of")).applyInArrow(_look_up, schema)

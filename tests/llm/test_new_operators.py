@@ -204,14 +204,33 @@ def test_alignment_of_nothing(spark):
     assert key(alignment.align_tokenizers(blank).collect()) == key([(k, 0, 0, 0, 0, 0, 0, "") for k in (1, 2, 3)])
 
 
-def test_stretches_of_long_texts_encode_alike(spark):
+def test_parts_encode_like_the_whole(spark):
     a, b = alignment.byte_side(alignment.BYTE_VOCABULARY_FILE), alignment.piece_side(VOCABULARY_FILE)
-    texts = [" ".join(r["text"] for r in read(spark, SMALL, "documents").where("text is not null").collect()), "no-cut" * 500, ""]
-    for size in (50, 1000):
-        assert all("".join(alignment.stretches(t, size)) == t for t in texts)
-        for text, (ids_a, ids_b) in zip(texts, alignment.encode_both(texts, a, b, size)):
-            assert ids_a.tolist() == a.encode([" " + text])[0]
-            assert ids_b.tolist() == b.encode([text])[0]
+    texts = [r["text"] for r in read(spark, SMALL, "documents").where("text is not null").collect()]
+    texts += [t for _, t in alignment_rows() if t] + [" ".join(texts), "no-cut" * 500]
+    for text in texts:
+        parts = alignment.parts_of(text)
+        assert " ".join(parts) == text
+        assert [i for p in parts for i in a.encode([" " + p])[0]] == a.encode([" " + text])[0]
+        assert [i for p in parts for i in b.encode([p])[0]] == b.encode([text])[0]
+        for size in (50, 1000):
+            blocks = list(alignment.blocks_of(text, size))
+            assert " ".join(blocks) == text and [p for x in blocks for p in alignment.parts_of(x)] == parts
+
+
+def test_no_piece_crosses_a_cut():
+    """What the cuts rely on: no piece of B has a mark after another character."""
+    b = alignment.piece_side(VOCABULARY_FILE)
+    assert not [t for t in b.tokens if b" " in t.lstrip(b" ")]
+
+
+def test_blocks_and_forgetting_change_nothing():
+    a, b = alignment.byte_side(alignment.BYTE_VOCABULARY_FILE), alignment.piece_side(VOCABULARY_FILE)
+    text = " ".join(t for _, t in alignment_rows() if t and "▁" not in t)
+    whole = alignment.Aligner(a, b)
+    cut = alignment.Aligner(a, b, remembered=1)
+    assert whole.number(text)[1] == cut.number(text, size=40)[1] != ""
+    assert whole.number(text + " ▁")[1] == ""
 
 
 # --- quality ------------------------------------------------------------------------------------
