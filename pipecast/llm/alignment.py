@@ -74,6 +74,10 @@ class Side:
     encode: object
     tokens: list[bytes]
 
+    @property
+    def lengths(self) -> np.ndarray:
+        return np.array([len(t) for t in self.tokens], np.int64)
+
 
 @lru_cache(maxsize=2)
 def byte_side(path: str) -> Side:
@@ -116,10 +120,10 @@ def piece_side(path: str) -> Side:
 def parts_of(text: str, plain: set[str] | dict[str, int] = frozenset()) -> list[str]:
     """``text`` cut at its single spaces between visible characters; joined by spaces they give it back.
 
-    ``plain`` holds parts known to begin and end with such characters.
+    ``plain`` holds parts known to be such.
     """
     pieces = text.split(" ")
-    if all(p in plain or (p and p[0] in EDGES and p[-1] in EDGES) for p in pieces):
+    if all(p and p[0] in EDGES and p[-1] in EDGES for p in set(pieces).difference(plain)):
         return pieces
     out, open_ = [], [pieces[0]]
     for before, piece in zip(pieces, pieces[1:]):
@@ -150,6 +154,9 @@ class Aligner:
 
     def __init__(self, a: Side, b: Side, remembered: int = REMEMBERED) -> None:
         self.a, self.b, self.remembered = a, b, remembered
+        self.lengths_a, self.lengths_b = a.lengths, b.lengths
+        # Written ids with the sign that follows: within a group, at its end, on either side.
+        self.marked = [f"{i}{sign}" for side, signs in ((a, ",|"), (b, ",;")) for sign in signs for i in range(len(side.tokens))]
         self.forget()
 
     def forget(self) -> None:
@@ -160,66 +167,111 @@ class Aligner:
         self.n_a, self.n_b, self.n_groups = array("q"), array("q"), array("q")
         self.links, self.ends = array("q"), array("q", [0])
 
-    def number(self, text: str, size: int = BLOCK) -> tuple[np.ndarray, str]:
-        """(numbers of the parts in order, digest of their written groups); the digest is '' if some part differs."""
-        found, digest, first = array("i"), hashlib.sha256(), True
-        for block in blocks_of(text, size):
-            parts = parts_of(block, self.numbers)
-            new = [p for p in dict.fromkeys(parts) if p not in self.numbers]
-            for at in range(0, len(new), 4096):
-                self.learn(new[at : at + 4096])
-            numbers = array("i", map(self.numbers.__getitem__, parts))
-            digest.update((";" * (not first) + ";".join(map(self.written.__getitem__, numbers))).encode())
-            found.extend(numbers)
-            first = False
-        codes = np.frombuffer(found, np.int32)
-        whole = np.frombuffer(self.whole, np.int8)[codes].all()
-        return codes, digest.hexdigest() if whole else ""
+    def number(self, texts: list[str | None], size: int = BLOCK) -> list[tuple[np.ndarray, str]]:
+        """For each text the numbers of its parts in order and the digest of their written groups.
+
+        Both are empty if the text is, or if the tokens of some part differ from it.
+        """
+        found = [array("i") for _ in texts]
+        digests = [hashlib.sha256() for _ in texts]
+        waiting: list[tuple[int, list[str]]] = []
+        characters = 0
+
+        def settle() -> None:
+            new = set().union(*(parts for _, parts in waiting)).difference(self.numbers)
+            self.learn(list(new))
+            for k, parts in waiting:
+                numbers = array("i", map(self.numbers.__getitem__, parts))
+                digests[k].update((";" * bool(found[k]) + ";".join(map(self.written.__getitem__, numbers))).encode())
+                found[k].extend(numbers)
+            waiting.clear()
+
+        for k, text in enumerate(texts):
+            for block in blocks_of(text, size) if text else ():
+                waiting.append((k, parts_of(block, self.numbers)))
+                characters += len(block)
+                if characters >= size:
+                    settle()
+                    characters = 0
+        settle()
+        out = []
+        whole = np.frombuffer(self.whole, np.int8)
+        for numbers, digest in zip(found, digests):
+            codes = np.frombuffer(numbers, np.int32)
+            fine = len(codes) > 0 and whole[codes].all()
+            out.append((codes, digest.hexdigest()) if fine else (codes[:0], ""))
+        return out
 
     def learn(self, parts: list[str]) -> None:
-        """Encode and align new parts."""
-        a, b, size_b = self.a.tokens, self.b.tokens, len(self.b.tokens)
-        for part, ids_a, ids_b in zip(parts, self.a.encode([" " + p for p in parts]), self.b.encode(parts)):
-            tokens_a, tokens_b = [a[i] for i in ids_a], [b[i] for i in ids_b]
-            joined = (" " + part).encode()
-            whole = b"".join(tokens_a) == joined and b"".join(tokens_b) == joined
-            groups, links = align(ids_a, tokens_a, ids_b, tokens_b) if whole else ([], [])
-            self.numbers[part] = len(self.written)
-            self.characters += len(part)
-            self.whole.append(whole)
-            self.n_a.append(len(ids_a))
-            self.n_b.append(len(ids_b))
-            self.n_groups.append(len(groups))
-            self.written.append(";".join([f"{','.join(map(str, p))}|{','.join(map(str, q))}" for p, q in groups]))
-            self.links.extend([i * size_b + j for i, j in links])
-            self.ends.append(len(self.links))
-
-
-def align(ids_a: list[int], tokens_a: list[bytes], ids_b: list[int], tokens_b: list[bytes]) -> tuple[list, list]:
-    """(groups as pairs of id lists, linked id pairs) of two encodings of the same bytes."""
-    if len(ids_a) == len(ids_b) == 1:
-        return [(ids_a, ids_b)], [(ids_a[0], ids_b[0])]
-    ends = [], []
-    for own, tokens in zip(ends, (tokens_a, tokens_b)):
-        end = 0
-        for token in tokens:
-            end += len(token)
-            own.append(end)
-    index_a, index_b = ({end: k for k, end in enumerate(own)} for own in ends)
-    groups, links = [], []
-    from_a = from_b = 0
-    for end in sorted(index_a.keys() & index_b.keys()):
-        to_a, to_b = index_a[end] + 1, index_b[end] + 1
-        groups.append((ids_a[from_a:to_a], ids_b[from_b:to_b]))
-        # Both lists of the slice end here; whichever token ends first makes way for the next of its side.
-        i, j = from_a, from_b
-        while i < to_a and j < to_b:
-            links.append((ids_a[i], ids_b[j]))
-            here_a, here_b = ends[0][i], ends[1][j]
-            i += here_a <= here_b
-            j += here_b <= here_a
-        from_a, from_b = to_a, to_b
-    return groups, links
+        """Encode and align new parts, all of them as if their bytes stood one after another."""
+        if not parts:
+            return
+        encoded = self.a.encode([" " + p for p in parts]), self.b.encode(parts)
+        sizes = [len((" " + p).encode()) for p in parts]
+        whole = self.give_bytes(parts, sizes, encoded)
+        # A part that differs from its tokens is left without any.
+        encoded = [[ids if fine else [] for ids, fine in zip(own, whole)] for own in encoded]
+        n_a, n_b = (np.array([len(ids) for ids in own], np.int64) for own in encoded)
+        ids_a, ids_b = (np.array([i for ids in own for i in ids], np.int64) for own in encoded)
+        ends_a, ends_b = np.cumsum(self.lengths_a[ids_a]), np.cumsum(self.lengths_b[ids_b])
+        last_a, last_b = groups(ends_a.tolist(), ends_b.tolist())
+        stops = np.concatenate([[0], np.cumsum(np.where(whole, sizes, 0))])  # where parts end, in bytes
+        linked, link_ends = links(ids_a, ids_b, ends_a, ends_b, len(self.b.tokens))
+        signs = self.signs(ids_a, ids_b, last_a, last_b)
+        tokens = np.concatenate([[0], np.cumsum(n_a + n_b)]).tolist()
+        group_counts = np.diff(np.searchsorted(ends_a[last_a], stops, side="right"))
+        link_counts = np.searchsorted(link_ends, stops[1:], side="right")
+        first = len(self.written)
+        self.numbers.update(zip(parts, range(first, first + len(parts))))
+        self.written.extend(["".join(signs[i:j])[:-1] for i, j in zip(tokens, tokens[1:])])
+        self.characters += sum(map(len, parts))
+        for own, values in (
+            (self.whole, np.array(whole, np.int8)),
+            (self.n_a, n_a),
+            (self.n_b, n_b),
+            (self.n_groups, group_counts.astype(np.int64)),
+            (self.ends, len(self.links) + link_counts.astype(np.int64)),
+            (self.links, linked),
+        ):
+            own.frombytes(values.tobytes())
+
+    def give_bytes(self, parts: list[str], sizes: list[int], encoded: tuple[list, list]) -> list[bool]:
+        """Whether both sides' tokens join to a space and the part."""
+        joined = (" " + " ".join(parts)).encode()
+        cuts = np.concatenate([[0], np.cumsum(sizes)]).tolist()
+        fine = [True] * len(parts)
+        for side, own in zip((self.a, self.b), encoded):
+            pieces = [b"".join([side.tokens[i] for i in ids]) for ids in own]
+            if b"".join(pieces) != joined or any(len(p) != n for p, n in zip(pieces, sizes)):
+                fine = [f and p == joined[i:j] for f, p, i, j in zip(fine, pieces, cuts, cuts[1:])]
+        return fine
+
+    def signs(self, ids_a: np.ndarray, ids_b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> list[str]:
+        """Written ids of all groups in order: A's with a bar after the last, then B's with a semicolon."""
+        n_a, n_b = len(ids_a), len(ids_b)
+        is_last_a, is_last_b = np.zeros(n_a, np.int64), np.zeros(n_b, np.int64)
+        is_last_a[last_a] = is_last_b[last_b] = 1
+        group_a, group_b = np.cumsum(is_last_a) - is_last_a, np.cumsum(is_last_b) - is_last_b
+        before_b = np.concatenate([[0], last_b + 1])  # tokens of B ahead of each group
+        out = np.empty(n_a + n_b, np.int64)
+        size_a, size_b = len(self.a.tokens), len(self.b.tokens)
+        out[np.arange(n_a) + before_b[group_a]] = ids_a + is_last_a * size_a
+        out[np.arange(n_b) + last_a[group_b] + 1] = ids_b + 2 * size_a + is_last_b * size_b
+        return list(map(self.marked.__getitem__, out.tolist()))
+
+
+def groups(ends_a: list[int], ends_b: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Token indices at which each group ends, in A and in B: where both dictionaries hold the end."""
+    index_a = dict(zip(ends_a, range(len(ends_a))))
+    index_b = dict(zip(ends_b, range(len(ends_b))))
+    common = sorted(index_a.keys() & index_b.keys())
+    return tuple(np.fromiter(map(index.__getitem__, common), np.int64, len(common)) for index in (index_a, index_b))
+
+
+def links(ids_a: np.ndarray, ids_b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray, size_b: int) -> tuple[np.ndarray, np.ndarray]:
+    """(A's id times ``size_b`` plus B's id, end) of each link: the stretches that the ends cut the slices into."""
+    ends = np.union1d(ends_a, ends_b)
+    return ids_a[np.searchsorted(ends_a, ends)] * size_b + ids_b[np.searchsorted(ends_b, ends)], ends
 
 
 _COLUMNS = (
@@ -237,8 +289,7 @@ def _portion_of(part: pa.RecordBatch, aligner: Aligner, number: int, names: list
     """The documents of a portion, then one row with its id pairs, their counts and the links of its parts."""
     if aligner.characters > aligner.remembered:
         aligner.forget()
-    found = [aligner.number(t) if t else (np.zeros(0, np.int32), "") for t in part.column("text").to_pylist()]
-    found = [(codes if digest else codes[:0], digest) for codes, digest in found]
+    found = aligner.number(part.column("text").to_pylist())
     n = len(found)
     used, codes = np.unique(np.concatenate([f[0] for f in found]), return_inverse=True)
     owner = np.repeat(np.arange(n), [len(f[0]) for f in found])

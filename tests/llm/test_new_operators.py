@@ -229,8 +229,9 @@ def test_blocks_and_forgetting_change_nothing():
     text = " ".join(t for _, t in alignment_rows() if t and "▁" not in t)
     whole = alignment.Aligner(a, b)
     cut = alignment.Aligner(a, b, remembered=1)
-    assert whole.number(text)[1] == cut.number(text, size=40)[1] != ""
-    assert whole.number(text + " ▁")[1] == ""
+    assert whole.number([text, "x"])[0][1] == cut.number(["x", text], size=40)[1][1] != ""
+    (codes, digest), (none, no_digest), (empty, _) = whole.number([text, text + " ▁", None])
+    assert len(codes) > 500 and digest and len(none) == len(empty) == 0 and no_digest == ""
 
 
 # --- quality ------------------------------------------------------------------------------------
