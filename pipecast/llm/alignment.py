@@ -50,11 +50,11 @@ from pipecast.llm.words import lists, portions
 BYTE_VOCABULARY_FILE = "/opt/tokenizers/byte_bpe_50k.json"
 
 # Texts of a portion have about so many bytes; its documents later meet in one task.
-PORTION_BYTES = 8_000_000
+PORTION_BYTES = 4_000_000
 # Texts are taken apart in blocks of about so many characters.
 BLOCK = 250_000
 # A task forgets the parts it has aligned when they have more characters than this.
-REMEMBERED = 4_000_000
+REMEMBERED = 3_000_000
 
 # Characters on both sides of a space at which texts are cut: visible ASCII and Latin letters.
 EDGES = frozenset(map(chr, [*range(0x21, 0x7F), *range(0xC0, 0x250)]))
