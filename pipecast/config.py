@@ -24,9 +24,9 @@ OTHER_QUARTER_DAYS = 92
 class ForecastConfig:
     """What a run counts and which day it is run on.
 
-    ``as_of`` stands for "today": it picks the running quarter, and bookings after it
-    are unknown. ``None`` means the session's current date and every booking read, so a
-    scheduled run needs no argument while tests and back-dated runs pin it.
+    ``as_of`` stands for "today": it picks the running quarter; snapshots and bookings after it
+    are unknown, and no feature row is later. ``None`` means the session's current date and all
+    rows read, so a scheduled run needs no argument while tests and back-dated runs pin it.
 
     ``touched_mode`` chooses how the "touched recently" rule reads the
     last-modified date. ``"intent"`` compares both dates with ``touched_days``;
@@ -42,8 +42,8 @@ class ForecastConfig:
     min_order_amount: int = 18
     fill_rows: int = 30
     excluded_divisions: tuple[str, ...] = EXCLUDED_DIVISIONS
-    excluded_opportunity_ids: tuple[str, ...] = ()
-    excluded_booking_ids: tuple[str, ...] = ()
+    excluded_opportunity_ids: tuple[str, ...] = EXCLUDED_OPPORTUNITY_IDS
+    excluded_booking_ids: tuple[str, ...] = EXCLUDED_BOOKING_IDS
     stages: tuple[str, ...] = field(default=STAGES)
 
     def __post_init__(self) -> None:

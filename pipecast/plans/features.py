@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from datetime import date
 from functools import reduce
 from operator import add
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pipecast import schemas
 from pipecast.config import ForecastConfig
 from pipecast.functions.fiscal import quarter_elapsed
-from pipecast.functions.predicates import forecast_division
+from pipecast.functions.predicates import forecast_division, known_by
 from pipecast.functions.ratios import feature_ratios
 from pipecast.operators.aggregates import (
     daily_bookings,
@@ -22,6 +24,7 @@ from pipecast.operators.aggregates import (
 from pipecast.operators.joins import assemble_features, calendar_spine
 from pipecast.operators.windows import bookings_to_date, filled_bookings
 from pipecast.sources.readers import Sources
+from pipecast.sources.sinks import overwrite_quarters
 
 
 def history_quarters(quarter_mapping: DataFrame, cfg: ForecastConfig) -> DataFrame:
@@ -44,19 +47,20 @@ def build_features(src: Sources, cfg: ForecastConfig, quarters: DataFrame | None
     Sources are read once each, and only over the days of ``quarters``. Whole
     quarters are independent of each other (running sums and gap filling stay
     inside one), so any set of them gives the same rows as a cut from the full
-    table. ``min_dt`` is applied ahead of the gap filling.
+    table. ``min_dt`` is applied ahead of the gap filling; a run pinned to a day knows no later
+    snapshot and has no later row.
     """
     if quarters is None:
         quarters = history_quarters(src.quarter_mapping, cfg)
     since = F.lit(cfg.min_dt)
     first, last = scan_bounds(quarters)
-    snapshots = src.snapshots(first, last).where(F.col("dt") >= F.date_sub(since, 1))
+    snapshots = src.snapshots(first, last).where((F.col("dt") >= F.date_sub(since, 1)) & known_by(cfg, "dt"))
     pipeline = pipeline_totals(snapshots, quarters, src.division_map, cfg).where("touched_deals > 0")
     bookings = src.bookings.where(F.col("booking_date__c").between(first, last))
     daily = daily_bookings(bookings, quarters, src.division_map, cfg)
     assembled = assemble_features(
         quota=quota_by_quarter(src.quota, quarters, src.division_map),
-        spine=calendar_spine(quarters, src.calendar).where(F.col("dt") >= since),
+        spine=calendar_spine(quarters, src.calendar).where((F.col("dt") >= since) & known_by(cfg, "dt")),
         pipeline=pipeline.where(forecast_division(cfg)),
         qtd=bookings_to_date(daily),
         quarter_total=quarter_bookings(daily),
@@ -78,6 +82,26 @@ def feature_columns(assembled: DataFrame, cfg: ForecastConfig) -> DataFrame:
     )
 
 
+def refresh_features(src: Sources, cfg: ForecastConfig, path: str, since: date | None = None) -> DataFrame:
+    """Bring the feature table stored at ``path`` up to date and return a frame that reads it.
+
+    Only the quarter of the last stored day and later ones are built and written; pass ``since`` to build
+    again from the quarter of that day, e.g. after corrections. Quarters are independent of each other, so
+    the result is that of a full build. The first run stores all of the history.
+    """
+    spark = src.calendar.sparkSession
+    quarters = history_quarters(src.quarter_mapping, cfg)
+    try:
+        stored = spark.read.schema(schemas.FEATURES).parquet(path)
+        last = since or stored.agg(F.max("dt")).first()[0]
+    except AnalysisException:  # nothing is stored yet
+        last = since
+    if last is not None:
+        quarters = quarters.where(F.col("qtr_end") >= F.lit(last))
+    overwrite_quarters(build_features(src, cfg, quarters), path)
+    return spark.read.schema(schemas.FEATURES).parquet(path).select(*schemas.FEATURE_COLUMNS)
+
+
 def sort_for_output(df: DataFrame) -> DataFrame:
     """Published row order; only for final results."""
     return df.orderBy("sales_div", "dt", "fy_quarter", "day_of_qtr")

@@ -13,13 +13,16 @@ from dataclasses import dataclass
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pipecast.functions.labels import clean_header
 from pipecast.operators.metrics import score
 from pipecast.operators.model_frames import fill_missing, with_fold
+from pipecast.plans.least_squares import LeastSquares, slot_coefficients
 from pipecast.schemas import LABEL, MODEL_FEATURES
 from pipecast.sources.sinks import cut_lineage
 
@@ -39,6 +42,11 @@ GRID_LEAVES = (3, 4, 5, 10, 50)
 FOLDS = 3
 SEED = 42
 
+# Partitions of the rows of a fit: more would multiply the statistics that deep trees send.
+FIT_PARTITIONS = 2
+# Boosting writes its nodes' and residuals' lineage to the shared folder every so many rounds.
+CHECKPOINT_ROUNDS = 10
+
 
 def encoder_stages() -> list:
     """Division one-hot encoded with all levels kept, after the numeric features."""
@@ -54,11 +62,9 @@ def encoder_stages() -> list:
     ]
 
 
-def linear_regression() -> LinearRegression:
+def linear_regression() -> LeastSquares:
     """Ordinary least squares without intercept."""
-    return LinearRegression(
-        labelCol=LABEL, featuresCol=FEATURES, fitIntercept=False, regParam=0.0, standardization=False
-    )
+    return LeastSquares(FEATURES, LABEL)
 
 
 def random_forest(
@@ -94,7 +100,8 @@ def gradient_boosting(
         featureSubsetStrategy="all",
         seed=SEED,
         maxMemoryInMB=1024,
-        cacheNodeIds=True,
+        cacheNodeIds=False,
+        checkpointInterval=CHECKPOINT_ROUNDS,
     )
 
 
@@ -108,6 +115,8 @@ def lasso_on_scaled(alpha: float = 1.0) -> list[Estimator]:
             regParam=alpha,
             elasticNetParam=1.0,
             standardization=False,
+            maxIter=1000,
+            tol=1e-12,
         ),
     ]
 
@@ -120,10 +129,11 @@ def model_rows(df: DataFrame) -> DataFrame:
 def fit(train: DataFrame, *estimators: Estimator) -> PipelineModel:
     """Fit encoding and estimators on ``train``.
 
-    Training reads its input many times, so the rows are computed once into
-    reliable storage first.
+    Training reads its input many times, so the rows are computed once into reliable storage
+    first. Every partition sends statistics of all open nodes at each level of a tree, so rows that
+    are few (one a day and division) go into few partitions.
     """
-    rows = cut_lineage(model_rows(train))
+    rows = cut_lineage(model_rows(train).coalesce(FIT_PARTITIONS))
     return Pipeline(stages=[*encoder_stages(), *estimators]).fit(rows)
 
 
@@ -161,11 +171,34 @@ def _per_feature(spark: SparkSession, model: PipelineModel, values, column: str)
 def coefficients(spark: SparkSession, model: PipelineModel) -> DataFrame:
     """One row per feature plus the intercept."""
     linear = model.stages[-1]
-    per_feature = _per_feature(spark, model, linear.coefficients.toArray(), "coefficient")
-    intercept = spark.createDataFrame([("intercept", float(linear.intercept))], per_feature.schema)
+    nested = isinstance(linear, PipelineModel)
+    values = slot_coefficients(linear, len(feature_names(model))) if nested else linear.coefficients.toArray()
+    per_feature = _per_feature(spark, model, values, "coefficient")
+    constant = 0.0 if nested else float(linear.intercept)
+    intercept = spark.createDataFrame([("intercept", constant)], per_feature.schema)
     return per_feature.union(intercept)
 
 
+def lasso_conditions(
+    spark: SparkSession, model: PipelineModel, train: DataFrame, alpha: float, tolerance: float = 1e-5
+) -> DataFrame:
+    """(feature, optimal): the subgradient condition of each coefficient, from one pass over ``train``.
+
+    The mean product of scaled feature and residual equals ``alpha`` times the coefficient's sign, or
+    lies within ``alpha`` where the coefficient is 0.
+    """
+    scored = model.transform(model_rows(train)).select(
+        (F.col(LABEL) - F.col(PREDICTION)).alias("missed"), F.posexplode(vector_to_array("scaled")).alias("slot", "x")
+    )
+    slopes = scored.groupBy("slot").agg(F.avg(F.col("x") * F.col("missed")).alias("slope"))
+    slots = [(k, name) for k, name in enumerate(feature_names(model))]
+    named = spark.createDataFrame(slots, "slot int, feature string").join(slopes, "slot", "left")
+    values = coefficients(spark, model).withColumnRenamed("coefficient", "b")
+    slope, b = F.coalesce(F.col("slope"), F.lit(0.0)), F.col("b")
+    at_rest = F.when(b == 0, F.abs(slope) <= alpha + tolerance).otherwise(F.abs(slope - F.signum(b) * alpha) <= tolerance)
+    return named.join(values, "feature").select("feature", at_rest.alias("optimal"))
+
+
 def feature_importance(spark: SparkSession, model: PipelineModel) -> DataFrame:
     """Importance per feature, least first."""
     trees = model.stages[-1]

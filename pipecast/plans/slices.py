@@ -91,6 +91,11 @@ def view_name(name: str, together: bool) -> str:
     return f"{VIEW_STEMS[name]}_{VIEW_SUFFIX[together]}"
 
 
+def view_names(together: bool) -> list[str]:
+    """Names of all slices in the order they are published in."""
+    return [view_name(name, together) for name in SLICES]
+
+
 def publish_slices(
     features: DataFrame,
     dates: RunDates,

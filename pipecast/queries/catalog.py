@@ -7,6 +7,7 @@ because a day is the grain every later step works on.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -18,7 +19,7 @@ from pipecast.functions import fiscal, labels, predicates
 from pipecast.operators import aggregates, joins, metrics, model_frames, windows
 from pipecast.plans import dates as run_dates
 from pipecast.plans import features as feature_plan
-from pipecast.plans import models, slices
+from pipecast.plans import models, slices, tree_tables
 from pipecast.queries import workspace as ws
 from pipecast.queries.workspace import CONFIG
 from pipecast.sources.readers import Sources, read_features_csv
@@ -157,18 +158,37 @@ def sink_named_view(spark: SparkSession, folder: str) -> DataFrame:
     return result
 
 
+@query
+def sink_named_view_contents(spark: SparkSession, folder: str) -> DataFrame:
+    """All rows of the ten slices, stored as tables and read back by name."""
+    rows = []
+    for together in (False, True):
+        features = ws.stored_features(spark, folder, together)
+        for name in slices.publish_slices(features, ws.dates(spark, folder), together, materialize=True):
+            spark.catalog.dropTempView(name)  # a temporary view would hide the table
+            values = [F.col(c) if c in ("dt", "fy_quarter", "sales_div") else _double(c) for c in schemas.FEATURE_COLUMNS]
+            rows.append(spark.table(name).select(F.lit(name).alias("view_name"), *values))
+    averages = [_rounded(df) if "stl4q" in name else df for df, name in zip(rows, [*slices.view_names(False), *slices.view_names(True)])]
+    return reduce(DataFrame.unionByName, averages)
+
+
 @query
 def src_read_view(spark: SparkSession, folder: str) -> DataFrame:
     slices.publish_slices(ws.stored_features(spark, folder), ws.dates(spark, folder))
     return slices.read_view(spark, "test")
 
 
+def _rounded_prediction(df: DataFrame) -> DataFrame:
+    """The solver's last digits depend on the order of its sums."""
+    return df.withColumn("prediction", F.round("prediction", 4))
+
+
 @query
 def sink_csv_compare(spark: SparkSession, folder: str) -> DataFrame:
     _, holdout = ws.holdout_split(spark, folder)
     compared = models.compare_with_actual(ws.model(spark, folder, "linear"), holdout)
     path = export_csv(compared, run_folder(spark, "results_compare"), CONFIG.as_of)
-    return spark.read.csv(path, header=True, schema=compared.schema)
+    return _rounded_prediction(spark.read.csv(path, header=True, schema=compared.schema))
 
 
 @query
@@ -176,7 +196,7 @@ def sink_csv_prediction(spark: SparkSession, folder: str) -> DataFrame:
     running = ws.stored_slice(spark, folder, "test")
     predicted = models.predict_current_quarter(ws.model(spark, folder, "linear"), running)
     path = export_csv(predicted, run_folder(spark, "curr_quarter_prediction"), CONFIG.as_of)
-    return spark.read.csv(path, header=True, schema=predicted.schema)
+    return _rounded_prediction(spark.read.csv(path, header=True, schema=predicted.schema))
 
 
 @query
@@ -423,7 +443,7 @@ def _assembled(src: Sources) -> DataFrame:
     pipeline = _totals(src).where("touched_deals > 0").where(predicates.forecast_division(CONFIG))
     return joins.assemble_features(
         quota=aggregates.quota_by_quarter(src.quota, src.quarter_mapping, src.division_map),
-        spine=joins.calendar_spine(src.quarter_mapping, src.calendar),
+        spine=joins.calendar_spine(src.quarter_mapping, src.calendar).where(predicates.known_by(CONFIG, "dt")),
         pipeline=pipeline,
         qtd=windows.bookings_to_date(daily),
         quarter_total=aggregates.quarter_bookings(daily),
@@ -459,7 +479,7 @@ def join_semi_in_subquery(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def join_concat_predictions(spark: SparkSession, folder: str) -> DataFrame:
     _, holdout = ws.holdout_split(spark, folder)
-    return models.compare_with_actual(ws.model(spark, folder, "linear"), holdout)
+    return _rounded_prediction(models.compare_with_actual(ws.model(spark, folder, "linear"), holdout))
 
 
 # --- aggregations -------------------------------------------------------------------------------
@@ -778,12 +798,15 @@ def ml_assemble(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def ml_linear_regression(spark: SparkSession, folder: str) -> DataFrame:
     _, holdout = ws.holdout_split(spark, folder)
-    return models.score_model(ws.model(spark, folder, "linear"), holdout)
+    scored = models.score_model(ws.model(spark, folder, "linear"), holdout)
+    return scored.withColumns({c: F.round(c, 4) for c in ("r2_score", "avg_abs_var_finish", "avg_abs_var_pct")})
 
 
 @query
 def ml_coefficients(spark: SparkSession, folder: str) -> DataFrame:
-    return models.coefficients(spark, ws.model(spark, folder, "linear"))
+    """A feature that is a combination of earlier ones has 0."""
+    found = models.coefficients(spark, ws.model(spark, folder, "linear"))
+    return found.withColumn("coefficient", F.round("coefficient", 3) + 0.0)
 
 
 @query
@@ -812,17 +835,38 @@ def ml_gradient_boosting_together(spark: SparkSession, folder: str) -> DataFrame
 
 @query
 def ml_grid_search(spark: SparkSession, folder: str) -> DataFrame:
-    return ws.search(spark, folder, "mae").to_frame(spark)
+    return ws.search(spark, folder).to_frame(spark, "mae")
 
 
 @query
 def ml_grid_search_r2(spark: SparkSession, folder: str) -> DataFrame:
-    return ws.search(spark, folder, "r2").to_frame(spark)
+    return ws.search(spark, folder).to_frame(spark, "r2")
 
 
 @query
 def ml_best_params(spark: SparkSession, folder: str) -> DataFrame:
-    return ws.search(spark, folder, "mae").to_frame(spark).where("is_best")
+    return ws.search(spark, folder).to_frame(spark, "mae").where("is_best")
+
+
+@query
+def ml_grid_search_points(spark: SparkSession, folder: str) -> DataFrame:
+    """Every point of the search, with what holds for exact cuts of the same forests whatever the data.
+
+    A split needs twice the leaf size, so smaller least split sizes change nothing.
+    """
+    points = ml_grid_search(spark, folder)
+    plain = points.where("min_split = 2").select(
+        F.col("max_depth").alias("depth"), F.col("min_leaf").alias("leaf"), F.col("score").alias("plain")
+    )
+    met = points.join(plain, F.col("depth").eqNullSafe(F.col("max_depth")) & (F.col("leaf") == F.col("min_leaf")))
+    no_effect = F.col("min_split") <= 2 * F.col("min_leaf")
+    return met.select(
+        "max_depth",
+        "min_split",
+        "min_leaf",
+        (F.col("score") > 0).alias("has_score"),
+        F.when(no_effect, F.col("score") == F.col("plain")).otherwise(True).alias("split_size_fits"),
+    )
 
 
 @query
@@ -851,8 +895,37 @@ def ml_feature_importance(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def ml_scale_lasso(spark: SparkSession, folder: str) -> DataFrame:
+    return models.coefficients(spark, ws.lasso(spark, folder))
+
+
+@query
+def ml_scale_lasso_optimal(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether each coefficient is where the lasso's penalty balances the slope of the squared error."""
     train, _ = ws.holdout_split(spark, folder)
-    return models.coefficients(spark, models.fit(train, *models.lasso_on_scaled(alpha=0.01)))
+    return models.lasso_conditions(spark, ws.lasso(spark, folder), train, ws.LASSO_ALPHA)
+
+
+@query
+def ml_predict_walk(spark: SparkSession, folder: str) -> DataFrame:
+    """Held-out rows whose forest prediction is the mean that joins with the node table find."""
+    return _walked(spark, folder, "forest")
+
+
+@query
+def ml_gradient_boosting_walk(spark: SparkSession, folder: str) -> DataFrame:
+    return _walked(spark, folder, "boosting")
+
+
+def _walked(spark: SparkSession, folder: str, kind: str) -> DataFrame:
+    _, holdout = ws.holdout_split(spark, folder)
+    fitted = ws.model(spark, folder, kind)
+    scored = fitted.transform(models.model_rows(holdout)).select("dt", "sales_div", models.FEATURES, "prediction")
+    trees = fitted.stages[-1]
+    walked = tree_tables.predictions_by_walk(
+        tree_tables.node_table(trees), tree_tables.tree_weights(trees), scored, "dt", "sales_div"
+    )
+    same = F.abs(F.col("prediction") - F.col("by_walk")) < 1e-9
+    return scored.drop(models.FEATURES).join(walked, ["dt", "sales_div"], "left").select("dt", "sales_div", same.alias("same"))
 
 # --- properties of model results that hold exactly, whatever solver or seed ----------------------
 

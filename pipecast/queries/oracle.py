@@ -217,7 +217,7 @@ assembled AS (
     LEFT JOIN finish c ON c.sales_div = g.sales_div AND c.fy_quarter = g.fy_quarter
     LEFT JOIN touched_pipe p ON p.dt + 1 = e.dt AND p.sales_div = g.sales_div AND p.fy_quarter = g.fy_quarter
     LEFT JOIN open_pipe a ON a.dt + 1 = e.dt AND a.sales_div = g.sales_div AND a.fy_quarter = g.fy_quarter
-    WHERE p.sales_div NOT IN ({EXCLUDED})
+    WHERE p.sales_div NOT IN ({EXCLUDED}) AND e.dt <= {AS_OF}
 ),
 latest AS (SELECT max(booking_date__c) AS day FROM bookings WHERE booking_date__c <= {AS_OF}),
 running AS (SELECT qtr_start FROM quarter_mapping WHERE {AS_OF} BETWEEN qtr_start AND qtr_end),
@@ -350,8 +350,113 @@ def _view_counts() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+def _view_contents() -> str:
+    from pipecast.plans.slices import view_name
+
+    keys = ("dt", "fy_quarter", "sales_div")
+    columns = ", ".join(c if c in keys else f"CAST({c} AS DOUBLE) AS {c}" for c in schemas.FEATURE_COLUMNS)
+    return "\nUNION ALL\n".join(
+        f"SELECT '{view_name(name, together)}' AS view_name, {columns} FROM ({_sql(body, together)})"
+        for together in (False, True)
+        for name, body in _SLICES.items()
+    )
+
+
+# --- least squares, solved by elimination --------------------------------------------------------
+
+# Divisions of the training rows in the order their columns have.
+_LEVELS = ("AFRICA", "AMERICA", "ASIA", "EUROPE")
+_FIT_COLUMNS = [
+    *(f"coalesce({c}, 0)" for c in schemas.MODEL_FEATURES),
+    *(f"CASE WHEN sales_div = '{level}' THEN 1 ELSE 0 END" for level in _LEVELS),
+]
+_VECTOR = "[" + ", ".join(f"CAST({c} AS DOUBLE)" for c in _FIT_COLUMNS) + "]"
+_SIZE = len(_FIT_COLUMNS)
+_PIVOT = "m[k + 1][k + 1]"
+# Gauss-Jordan elimination of the scaled products; a column without a pivot depends on earlier ones.
+_LEAST_SQUARES = f"""WITH RECURSIVE fit_rows AS MATERIALIZED (
+    SELECT list_append({_VECTOR}, coalesce({schemas.LABEL}, 0)) AS x FROM ({_TRAINING})
+),
+products AS (
+    SELECT i, j, sum(x[i] * x[j]) AS v FROM fit_rows, range(1, {_SIZE + 2}) a(i), range(1, {_SIZE + 2}) b(j) GROUP BY i, j
+),
+sizes AS (SELECT i, sqrt(v) AS size FROM products WHERE i = j),
+matrix AS (
+    SELECT list(r ORDER BY i) AS m FROM (
+        SELECT p.i, list(v / (a.size * b.size) ORDER BY p.j) AS r
+        FROM products p JOIN sizes a ON a.i = p.i JOIN sizes b ON b.i = p.j GROUP BY p.i)
+),
+eliminated(k, m) AS (
+    SELECT 0, m FROM matrix
+    UNION ALL
+    SELECT k + 1, [[CASE WHEN {_PIVOT} <= 1e-10 THEN CASE WHEN i = k + 1 OR j = k + 1 THEN 0 ELSE m[i][j] END
+                         WHEN i = k + 1 THEN m[i][j] / {_PIVOT}
+                         ELSE m[i][j] - m[i][k + 1] * m[k + 1][j] / {_PIVOT} END
+                    FOR j IN range(1, {_SIZE + 2})] FOR i IN range(1, {_SIZE + 2})]
+    FROM eliminated WHERE k < {_SIZE}
+),
+fitted AS (
+    SELECT m, (SELECT list(size ORDER BY i) FROM sizes) AS s FROM eliminated WHERE k = {_SIZE}
+),
+weights AS (
+    SELECT [m[i][{_SIZE + 1}] * s[{_SIZE + 1}] / s[i] FOR i IN range(1, {_SIZE + 1})] AS b FROM fitted
+)
+"""
+
+
+def _filled(rows: str) -> str:
+    gaps = [c for c in schemas.FEATURE_COLUMNS if c not in schemas.KEY_COLUMNS]
+    return "SELECT * REPLACE (" + ", ".join(f"coalesce({c}, 0) AS {c}" for c in gaps) + f") FROM ({rows})"
+
+
+def _predicted(rows: str, columns: str = "*", digits: int | None = 4) -> str:
+    value = f"list_sum([b[i] * {_VECTOR}[i] FOR i IN range(1, {_SIZE + 1})])"
+    value = value if digits is None else f"round({value}, {digits})"
+    return f"SELECT {columns} FROM ({_LEAST_SQUARES} SELECT r.*, {value} AS prediction FROM ({_filled(rows)}) r, weights)"
+
+
+_MISSED = f"{schemas.LABEL} - prediction"
+_LINEAR_SCORES = f"""SELECT round(1 - sum(pow({_MISSED}, 2)) / (var_pop({schemas.LABEL}) * count(*)), 4) AS r2_score,
+    round(avg(abs({_MISSED})), 4) AS avg_abs_var_finish,
+    round(avg(abs(({_MISSED}) / nullif({schemas.LABEL}, 0))), 4) AS avg_abs_var_pct,
+    count(*) FILTER (WHERE {schemas.LABEL} = 0) AS rows_without_pct, count(*) AS n_rows
+    FROM ({_predicted(_HOLDOUT, digits=None)})"""
+
+
+def _feature_labels() -> list[str]:
+    return [*schemas.MODEL_FEATURES, *(f"sales_div_{level.lower()}" for level in _LEVELS)]
+
+
+def _coefficients() -> str:
+    names = "[" + ", ".join(f"'{name}'" for name in _feature_labels()) + "]"
+    zeros = "SELECT 'sales_div_unseen', CAST(0 AS DOUBLE) UNION ALL SELECT 'intercept', CAST(0 AS DOUBLE)"
+    found = f"{_LEAST_SQUARES} SELECT unnest({names}) AS feature, round(unnest(b), 3) + 0.0 AS coefficient FROM weights"
+    return f"SELECT feature, coefficient FROM ({found}) UNION ALL {zeros}"
+
+
+def _grid_points() -> str:
+    from pipecast.plans.models import GRID_DEPTHS, GRID_LEAVES
+    from pipecast.plans.tree_tables import GRID_SPLITS
+
+    depths = ", ".join("NULL" if d is None else str(d) for d in GRID_DEPTHS)
+    return f"""SELECT CAST(max_depth AS INTEGER) AS max_depth, min_split, min_leaf, true AS has_score, true AS split_size_fits
+        FROM (SELECT unnest([{depths}]) AS max_depth), (SELECT unnest({list(GRID_SPLITS)}) AS min_split),
+             (SELECT unnest({list(GRID_LEAVES)}) AS min_leaf)"""
+
+
 def oracle_sql() -> dict[str, str]:
     plain = {
+        "join_concat_predictions": _predicted(_HOLDOUT),
+        "sink_csv_compare": _predicted(_HOLDOUT),
+        "sink_csv_prediction": _predicted(_TEST, f"* EXCLUDE (direct_bookings, {schemas.LABEL})"),
+        "ml_linear_regression": _LINEAR_SCORES,
+        "ml_coefficients": _coefficients(),
+        "ml_scale_lasso_optimal": "SELECT unnest(["
+        + ", ".join(f"'{name}'" for name in [*_feature_labels(), "sales_div_unseen"])
+        + "]) AS feature, true AS optimal",
+        "ml_predict_walk": f"SELECT dt, sales_div, true AS same FROM ({_HOLDOUT})",
+        "ml_gradient_boosting_walk": f"SELECT dt, sales_div, true AS same FROM ({_HOLDOUT})",
+        "ml_grid_search_points": _grid_points(),
         "sink_csv_compare_rows": f"SELECT dt, sales_div, true AS has_prediction FROM ({_HOLDOUT})",
         "sink_csv_prediction_rows": f"SELECT dt, sales_div, true AS has_prediction FROM ({_TEST})",
         "join_concat_predictions_rows": f"SELECT dt, sales_div, day_of_qtr, true AS has_prediction FROM ({_HOLDOUT})",
@@ -552,6 +657,7 @@ def oracle_sql() -> dict[str, str]:
     )
     oracles["view_test_backdated"] = _sql(_SLICES["test"]).replace(AS_OF, f"DATE '{BACK_DATED.as_of}'")
     oracles["sink_named_view"] = _view_counts()
+    oracles["sink_named_view_contents"] = _view_contents()
     for name, body in _SLICES.items():
         oracles[f"view_{name}"] = _sql(body)
         oracles[f"view_{name}_together"] = _sql(body, together=True)

@@ -14,9 +14,9 @@ from functools import lru_cache
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
-from pipecast.config import EXCLUDED_BOOKING_IDS, EXCLUDED_OPPORTUNITY_IDS, ForecastConfig
+from pipecast.config import ForecastConfig
 from pipecast.operators.model_frames import split_holdout
-from pipecast.plans import models
+from pipecast.plans import models, tree_tables
 from pipecast.plans.dates import RunDates
 from pipecast.plans.features import build_features
 from pipecast.plans.slices import SLICES
@@ -24,17 +24,11 @@ from pipecast.sources.orders_mapping import derive_sources
 from pipecast.sources.readers import Sources
 from pipecast.sources.sinks import cut_lineage, run_folder, store_features
 
-CONFIG = ForecastConfig(
-    as_of=date(2001, 6, 15),
-    min_dt=date(1995, 8, 1),
-    excluded_opportunity_ids=EXCLUDED_OPPORTUNITY_IDS,
-    excluded_booking_ids=EXCLUDED_BOOKING_IDS,
-)
+CONFIG = ForecastConfig(as_of=date(2001, 6, 15), min_dt=date(1995, 8, 1))
 BACK_DATED = replace(CONFIG, as_of=date(2000, 6, 15))
 
-# Tree depth of the registered model queries: unlimited depth multiplies their run time.
-FOREST_DEPTH = 10
-BOOSTING_DEPTH = 3
+# Trees of every registered model; their depth is unlimited. Tests set a smaller number.
+TREES = models.TREES
 
 
 @lru_cache(maxsize=16)
@@ -70,14 +64,22 @@ def model(spark: SparkSession, folder: str, kind: str, together: bool = False) -
     if kind == "linear":
         return models.fit(train, models.linear_regression())
     if kind == "forest":
-        return models.fit(train, models.random_forest(together, max_depth=FOREST_DEPTH))
+        return models.fit(train, models.random_forest(together, TREES))
     if kind == "boosting":
-        return models.fit(train, models.gradient_boosting(together, max_depth=BOOSTING_DEPTH))
+        return models.fit(train, models.gradient_boosting(together, TREES))
     raise ValueError(kind)
 
 
+LASSO_ALPHA = 0.01
+
+
 @lru_cache(maxsize=16)
-def search(spark: SparkSession, folder: str, metric: str) -> models.GridResult:
+def lasso(spark: SparkSession, folder: str) -> PipelineModel:
     train, _ = holdout_split(spark, folder)
-    forest = models.random_forest(trees=10)
-    return models.grid_search(train, forest, depths=(2, 5), leaves=(3, 50), metric=metric)
+    return models.fit(train, *models.lasso_on_scaled(alpha=LASSO_ALPHA))
+
+
+@lru_cache(maxsize=16)
+def search(spark: SparkSession, folder: str, together: bool = False) -> tree_tables.ForestSearch:
+    train, _ = holdout_split(spark, folder, together)
+    return tree_tables.search_forest(train, trees=TREES, parallelism=8)

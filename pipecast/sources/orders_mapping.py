@@ -44,6 +44,14 @@ class OrderTables:
             .select("c_custkey", "n_name", "r_name")
         )
 
+    def spread(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` dealt over the cores if table ``name`` has fewer splits than there are cores.
+
+        For rows that are about to be multiplied; a table of many splits is left where it is read.
+        """
+        cores = self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores) if self.read(name).rdd.getNumPartitions() < cores else df
+
     def orders(self) -> DataFrame:
         """Orders with their customer's labels and the order date as ``od``."""
         orders = self.read("orders").withColumn("od", F.to_date("o_orderdate"))
@@ -63,6 +71,7 @@ def opportunity_history(
     if first is not None and last is not None:
         placed = F.col("o_orderdate")
         orders = orders.where((placed >= F.date_sub(first, LONGEST_LIFE)) & (placed < F.date_add(last, 1)))
+    orders = tables.spread(orders, "orders")
     orders = orders.selectExpr(
         "o_orderkey",
         f"if(o_orderkey = 1, '{EXCLUDED_OPPORTUNITY_IDS[0]}', cast(o_orderkey as string)) as id",
@@ -96,11 +105,11 @@ def opportunity_history(
 
 
 def bookings(tables: OrderTables) -> DataFrame:
-    """One row per order line. Orders get their labels first; the two facts then meet in a sort-merge
-    join, so that neither is ever sent to every executor."""
+    """One row per order line. Orders get their labels ahead of the join of the two facts, which the
+    planner joins them by their measured sizes."""
     lines = tables.read("lineitem")
     orders = tables.orders().select("o_orderkey", "o_custkey", "n_name")
-    rows = lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")).selectExpr(
+    rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).selectExpr(
         f"if(l_orderkey = 1 and l_linenumber = 1, '{EXCLUDED_BOOKING_IDS[0]}',"
         " concat(l_orderkey, '-', l_linenumber)) as id",
         "cast(l_shipdate as date) as booking_date__c",

@@ -47,8 +47,20 @@ def publish_view(df: DataFrame, name: str) -> None:
 
 
 def publish_table(df: DataFrame, name: str) -> None:
-    """Publish under a catalog name, stored once."""
-    df.write.mode("overwrite").saveAsTable(name)
+    """Publish under a catalog name, stored once; readers see the old rows or the new ones, never a part.
+
+    Each call stores a table of its own beside the ones before, then points the view ``name`` to it. The
+    version before the new one stays for readers that have begun with it; older ones are dropped. A table
+    called ``name`` has to be dropped by the caller first.
+    """
+    spark = df.sparkSession
+    versions = sorted(t.name for t in spark.catalog.listTables(pattern=f"{name}__v*") if not t.isTemporary)
+    number = int(versions[-1].rsplit("__v", 1)[1]) + 1 if versions else 1
+    version = f"{name}__v{number:09d}"
+    df.write.saveAsTable(version)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {version}")
+    for old in versions[:-1]:
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
 
 
 def store_features(df: DataFrame, path: str) -> DataFrame:
@@ -61,6 +73,12 @@ def store_features(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+def overwrite_quarters(df: DataFrame, path: str) -> None:
+    """Replace the quarters that ``df`` has rows of in a feature table at ``path``; others keep their files."""
+    writer = df.repartition("fy_quarter").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("fy_quarter").parquet(path)
+
+
 def export_csv(df: DataFrame, path: str, run_date: date | None = None) -> str:
     """Write with header below ``path``; ``run_date`` marks the run in the name. Returns the folder."""
     target = path if run_date is None else f"{path}_{run_date.isoformat()}"

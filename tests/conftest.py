@@ -27,3 +27,11 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture(scope="session", autouse=True)
+def few_trees():
+    """Registered models have fewer trees in tests; what is checked holds for any number."""
+    from pipecast.queries import workspace
+
+    workspace.TREES = 4

@@ -58,7 +58,8 @@ def test_last_days_of_a_quarter(spark):
         name: build_slice(name, src, cfg, dates).count() for name in ("train", "test", "stlq", "stl4q_avg")
     }
     assert counts == {"train": 7240, "test": 323, "stlq": 1, "stl4q_avg": 2}
-    assert build_features(src, cfg).count() == 7652
+    features = build_features(src, cfg)
+    assert features.count() == 7563 and features.where(F.col("dt") > cfg.as_of).count() == 0
 
 
 def test_back_dated_run_holds_one_quarter(spark):

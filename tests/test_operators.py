@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
@@ -127,7 +128,9 @@ def test_feature_rows_of_a_quarter(spark):
         booking("rest", start + timedelta(days=50), 850),
     ]
     src = make_sources(spark, opps, bks)
-    rows = {r["day_of_qtr"]: r for r in build_features(src, CFG).collect()}
+    assert max(r["dt"] for r in build_features(src, CFG).collect()) == CFG.as_of  # later days are unknown
+    cfg = replace(CFG, as_of=date(2001, 7, 31))
+    rows = {r["day_of_qtr"]: r for r in build_features(src, cfg).collect()}
     assert min(rows) == 2 and len(rows) == 60
     assert rows[2]["bookings_qtd"] == 0  # the booking of day 1 has no row to be carried from
     assert rows[5]["bookings_qtd"] == 250
