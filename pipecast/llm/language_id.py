@@ -15,7 +15,9 @@ Clusters with less than LEAST_SHARE of the language's texts are dissolved.
 Rejection by distance: each centroid has a radius for each doubling of text length (short texts
 are farther from any centroid). It is the QUANTILE of the distances of its sample texts and of
 pieces cut from them, each against the centroid without that text, plus ``slack`` times what
-lies between it and the median (at least ``least_radius``). A text outside the radius of its nearest
+lies between it and the median (at least ``least_radius``). The same pieces with their letters drawn
+anew are texts of no language: where they are farther than the quantile, the radius ends half way
+between the two, else at the quantile. A text outside the radius of its nearest
 centroid is rejected, as is a text without a letter.
 
 Null text, text without a letter: ``und``, score 0, rejected. Without training rows every
@@ -34,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pipecast.llm.store import fold
+from pipecast.llm.store import fold, unused
 
 DIMS = 1 << 13
 SAMPLE_ROWS = 400
@@ -179,18 +181,30 @@ def cluster(points: np.ndarray, weights: np.ndarray, centroids: int, rounds: int
         centers = np.delete(centers, int(np.argmin(sizes)), axis=0)
 
 
-def _radii(distances: list[list[float]], slack: float, least: float) -> np.ndarray:
+def _radii(distances: list[list[float]], scrambled: list[list[float]], slack: float, least: float) -> np.ndarray:
     """A radius a length: no longer text has a larger one; lengths without a distance take their neighbour's."""
-    out = np.zeros(LENGTHS + 1)
+    out, most = np.zeros(LENGTHS + 1), np.full(LENGTHS + 1, np.inf)
     for k, found in enumerate(distances):
         if found:
             high, middle = np.quantile(found, [QUANTILE, 0.5])
             out[k] = high + slack * (high - middle)
+            if scrambled[k]:
+                most[k] = max(high, (high + np.quantile(scrambled[k], 1 - QUANTILE)) / 2)
     out = np.maximum.accumulate(out[::-1])[::-1]
     filled = np.flatnonzero(out)
     if len(filled):
         out[filled[-1] :] = out[filled[-1]]
-    return np.maximum(out, least)
+    return np.minimum(np.maximum(out, least), most)
+
+
+def _scrambled(text: str, draw: np.random.Generator) -> str:
+    """The text with each letter drawn anew from the different letters it has."""
+    chars = list(text)
+    at = [k for k, c in enumerate(chars) if c.isalpha()]
+    kinds = sorted({chars[k].lower() for k in at})
+    for k, j in zip(at, draw.integers(0, len(kinds), len(at)) if kinds else ()):
+        chars[k] = kinds[j]
+    return "".join(chars)
 
 
 def _pieces(text: str) -> Iterator[str]:
@@ -213,7 +227,8 @@ def _fit_language(idf: np.ndarray, centroids: int, rounds: int, slack: float, le
             points[k, slots] = values
         weights = frame["n"].to_numpy(float)
         centers, near = cluster(points, weights, centroids, rounds)
-        distances = [[[] for _ in range(LENGTHS + 1)] for _ in centers]
+        distances, scrambled = ([[[] for _ in range(LENGTHS + 1)] for _ in centers] for _ in range(2))
+        draw = np.random.default_rng(len(frame))
         sums = np.stack([(points[near == c] * weights[near == c, None]).sum(axis=0) for c in range(len(centers))])
         for k, text in enumerate(frame["text"]):
             rest = sums[near[k]] - weights[k] * points[k]
@@ -225,8 +240,13 @@ def _fit_language(idf: np.ndarray, centroids: int, rounds: int, slack: float, le
                 if found is not None:
                     slots, values = _unit(found, idf)
                     distances[near[k]][_length(found)].append(1 - float(rest[slots] @ values) / size)
-        every = [sum((d[k] for d in distances), []) for k in range(LENGTHS + 1)]
-        radii = [_radii(d if any(d) else every, slack, least) for d in distances]
+                    odd = ngram_counts(_scrambled(piece, draw) if len(piece) < 1 << LENGTHS else None)
+                    if odd is not None:
+                        slots, values = _unit(odd, idf)
+                        cosines = centers[:, slots] @ values
+                        scrambled[int(np.argmax(cosines))][_length(odd)].append(1 - float(cosines.max()))
+        every, odds = ([sum((d[k] for d in lists_), []) for k in range(LENGTHS + 1)] for lists_ in (distances, scrambled))
+        radii = [_radii(d if any(d) else every, odds, slack, least) for d in distances]
         if not any(every):  # a single text: nothing tells how far others may be
             radii = [np.ones(LENGTHS + 1)] * len(centers)
         return pd.DataFrame(
@@ -310,5 +330,6 @@ def identify(docs: DataFrame, model: CentroidModel) -> DataFrame:
 
 def keep_identified(docs: DataFrame, model: CentroidModel) -> DataFrame:
     """``docs`` without the rows whose language is rejected, all columns as they were."""
-    tagged = docs.withColumn("__language", predictor(model)(F.col("text")))
-    return tagged.where(~F.col("__language.rejected")).select(*docs.columns)
+    name = unused(docs, "language_of_text")
+    tagged = docs.withColumn(name, predictor(model)(F.col("text")))
+    return tagged.where(~F.col(name)["rejected"]).select(*docs.columns)
