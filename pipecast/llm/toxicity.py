@@ -18,8 +18,8 @@ words precede the expression, estimated from 64-bit maps of neighbours (linear c
 
 A word's evidence is the log ratio of the toxic to the ordinary model, given the word before it.
 Expressions are told apart by 64-bit hashes, and totals cover all. A level's table has all
-expressions with a count above the discount (others have no term of their own), at most TABLE:
-those that exceed it most.
+expressions with a count above the discount; others have no term of their own. The fit reads at most
+SAMPLE_ROWS labelled documents, those whose ids hash lowest outside fold 0; this bounds the tables, too.
 
 A text's evidence is its log-likelihood under the toxic model less that under the ordinary
 one, divided by the number of words and by its square root, on a scale that is linear for small and
@@ -46,8 +46,8 @@ from pyspark.sql import functions as F
 from pipecast.llm.store import fold, keep
 from pipecast.llm.words import _BYTE_BASE, Words, _byte_values, mix, portions, powers, signed
 
-# The most expressions of a level that a model holds.
-TABLE = 1 << 18
+# The most labelled documents that are learned from.
+SAMPLE_ROWS = 12_000
 # In how many texts an expression must be seen in the smaller class to speak for itself.
 DISCOUNT = 2.0
 SHARED_DISCOUNT = 0.75
@@ -228,8 +228,6 @@ def _levels(counts: DataFrame, discount: float) -> tuple[Level, ...] | None:
         table = (
             rows.withColumn("excess", excess)
             .where("excess > 1")
-            .orderBy(F.desc("excess"), "key")
-            .limit(TABLE)
             .select("key", *classes, _contexts().alias("contexts"))
             .toArrow()
         )
@@ -239,12 +237,17 @@ def _levels(counts: DataFrame, discount: float) -> tuple[Level, ...] | None:
     return tuple(levels)
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, discount: float = DISCOUNT) -> ToxicityModel:
-    """Learn from the documents with a label whose fold is not 0. The driver gets at most TABLE rows a level."""
-    marks = labels.where("toxic in (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
-    marked = docs.where(fold() != 0).select("doc_id", "text").join(
-        marks.where(fold() != 0).hint("merge"), "doc_id"
-    )
+def fit_toxicity(
+    docs: DataFrame, labels: DataFrame, discount: float = DISCOUNT, sample_rows: int = SAMPLE_ROWS
+) -> ToxicityModel:
+    """Learn from at most ``sample_rows`` labels of documents whose fold is not 0.
+
+    The driver gets the expressions of these documents that exceed the discount.
+    """
+    marks = labels.where("toxic in (0, 1)").where(fold() != 0)
+    marks = marks.select("doc_id", F.col("toxic").cast("int").alias("toxic"))
+    marks = marks.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(sample_rows)
+    marked = docs.where(fold() != 0).select("doc_id", "text").join(F.broadcast(marks), "doc_id")
     rows = keep(marked.select("text", "toxic", (fold() == CALIBRATION_FOLD).alias("calibrates")), "toxic-rows")
     counted = rows.where("not calibrates").select("text", "toxic")
     counts = (
