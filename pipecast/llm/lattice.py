@@ -46,6 +46,8 @@ from pipecast.llm.words import Words, lists, mix, portions, powers, signed, text
 ROUNDS = 3
 # Words whose counts go to every task: a table of 16 bytes each.
 FREQUENT_WORDS = 1 << 17
+# Words a task remembers the probability of, 16 bytes each.
+REMEMBERED_WORDS = 1_000_000
 # Words that one pass of the recursion takes.
 WORDS_AT_ONCE = 30_000
 # The fold that is held out.
@@ -268,6 +270,31 @@ class TrainingCounts:
         return known, np.where(known, self.counts[at], 0.0)
 
 
+class RememberedWords:
+    """Lattice probabilities of the words a task has met, by hash; forgotten when they are too many."""
+
+    def __init__(self, table: PieceTable, log_p: np.ndarray) -> None:
+        self.table, self.log_p = table, log_p
+        self.keys, self.values = np.zeros(0, np.uint64), np.zeros(0)
+
+    def of(self, found: np.ndarray, raw: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+        """Log probability of each word of ``found`` (ascending); words not met before go through the lattice."""
+        out = np.zeros(len(found))
+        at = np.minimum(np.searchsorted(self.keys, found), max(len(self.keys) - 1, 0))
+        met = self.keys[at] == found if len(self.keys) else np.zeros(len(found), bool)
+        out[met] = self.values[at[met]]
+        new = np.flatnonzero(~met)
+        for run in _word_runs(len(new)):
+            out[new[run]] = Lattice(raw, starts[new[run]], stops[new[run]], self.table).words(self.log_p)
+        if len(self.keys) > REMEMBERED_WORDS:
+            self.keys, self.values = found, out
+        elif len(new):
+            keys, values = np.concatenate([self.keys, found[new]]), np.concatenate([self.values, out[new]])
+            order = np.argsort(keys)
+            self.keys, self.values = keys[order], values[order]
+        return out
+
+
 def _score(table: PieceTable, log_p: np.ndarray, train: TrainingCounts):
     """Per text: the two scores as far as words are frequent or new, and its other words.
 
@@ -282,14 +309,12 @@ def _score(table: PieceTable, log_p: np.ndarray, train: TrainingCounts):
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         next_id = TaskContext.get().partitionId() << 40
+        remembered = RememberedWords(table, log_p)
         for batch in batches:
             for part in portions(batch, "text", 8_000_000):
                 words = Words(part.column("text"), lower=True)
                 found, first, where = np.unique(words.hashes, return_index=True, return_inverse=True)
-                log_word = np.zeros(len(found))
-                starts, stops, raw = words.starts[first], words.ends[first], _lowered(words.data)
-                for run in _word_runs(len(found)):
-                    log_word[run] = Lattice(raw, starts[run], stops[run], table).words(log_p)
+                log_word = remembered.of(found, _lowered(words.data), words.starts[first], words.ends[first])
                 known, counts = train.known(found)
                 by_pieces = share * np.exp(log_word)
                 base = np.log10((counts + 0.5) / total)
@@ -310,11 +335,12 @@ def _score(table: PieceTable, log_p: np.ndarray, train: TrainingCounts):
                     pa.array(n - np.diff(kept) + (train.documents > 0)),
                     pa.array(sums(base[where]) + end_base),
                     pa.array(sums(own[where]) + end_score),
+                    pa.array(sums(log_word[where]) / _LN10),
                     lists(signed(words.hashes[rest]), kept, pa.int64()),
-                    lists(rare[where][rest].astype(np.float32), kept, pa.float32()),
+                    lists(rare[where][rest], kept, pa.float64()),
                 ]
                 yield pa.RecordBatch.from_arrays(
-                    columns, names=["doc_id", "held_out", "row_id", "n_tokens", "known", "base", "own", "others", "rare"]
+                    columns, names=["doc_id", "held_out", "row_id", "n_tokens", "known", "base", "own", "by_pieces", "others", "rare"]
                 )
 
     return score
@@ -323,9 +349,10 @@ def _score(table: PieceTable, log_p: np.ndarray, train: TrainingCounts):
 def lattice_scores(
     docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS, frequent_words: int = FREQUENT_WORDS
 ) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), one row for each of ``docs``.
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, pieces_score), one row for each of ``docs``.
 
-    Scores are log10 probabilities. Learns from the rows whose fold is not ``HELD_OUT_FOLD``;
+    Scores are log10 probabilities; ``pieces_score`` is that of the words by their pieces alone, without
+    the ends and the training words' own counts. Learns from the rows whose fold is not ``HELD_OUT_FOLD``;
     rows with a null id are scored, not learned from.
     """
     table = PieceTable.of(vocabulary)
@@ -350,7 +377,7 @@ def lattice_scores(
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = (
         f"doc_id {kind}, held_out boolean, row_id long, n_tokens long, known long, base double, own double, "
-        "others array<long>, rare array<float>"
+        "by_pieces double, others array<long>, rare array<double>"
     )
     marked = docs.select("doc_id", F.coalesce(fold() == HELD_OUT_FOLD, F.lit(False)).alias("held_out"), "text")
     scored = keep(marked.mapInArrow(_score(table, log_p, train), schema), "lattice-scores")
@@ -359,7 +386,7 @@ def lattice_scores(
     seen = others.join(words.select("h", "n"), "h")
     base_gain = F.log10(F.col("n") + 0.5) - F.log10(F.lit(0.5))
     whole = F.greatest(F.col("n") - F.lit(train.discount), F.lit(0.0)) / F.lit(float(max(train.tokens, 1)))
-    own_gain = F.log10(whole + F.pow(F.lit(10.0), F.col("rare").cast("double"))) - F.col("rare")
+    own_gain = F.log10(whole + F.pow(F.lit(10.0), F.col("rare"))) - F.col("rare")
     per_row = seen.groupBy("row_id").agg(
         F.sum(base_gain).alias("base_gain"), F.sum(own_gain).alias("own_gain"), F.count("*").alias("more")
     )
@@ -372,4 +399,5 @@ def lattice_scores(
         F.lit(train.tokens).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("base_gain", F.lit(0.0))).alias("base_score"),
         (F.col("own") + F.coalesce("own_gain", F.lit(0.0))).alias("score"),
+        F.col("by_pieces").alias("pieces_score"),
     )
