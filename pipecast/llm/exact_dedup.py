@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pipecast.llm.store import keep, shuffle_partitions
+from pipecast.llm.store import freeing, keep, shuffle_partitions
 
 # Bytes of distinct text that one bucket's table may hold.
 BUCKET_BYTES = 64_000_000
@@ -148,6 +148,7 @@ def _resolved(docs: DataFrame, columns: list[str], bucket_bytes: int) -> tuple[D
     return rows, matched.select("rep_id", "class_id").join(per_class, "class_id")
 
 
+@freeing
 def exact_duplicates(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """(doc_id, keep_id, group_size, kept, text_sha256): one row for each row of ``docs``."""
     rows, resolved = _resolved(docs, ["text"], bucket_bytes)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pipecast.llm.store import keep
+from pipecast.llm.store import freeing, keep, unused
 from pipecast.llm.words import Words, portions
 from pipecast.llm.words import mix as spread
 
@@ -159,6 +159,7 @@ def _block(frame: pd.DataFrame) -> pd.DataFrame:
     return frame.assign(p=land(p, size) if last else p)
 
 
+@freeing
 def mix(
     docs: DataFrame,
     weights: Sequence[float] = WEIGHTS,
@@ -217,7 +218,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
 
     Rows that share a doc_id are taken alike, as often as the one taken most.
     """
-    plan = mix(docs, **options).groupBy("doc_id").agg(F.max("copies").cast("int").alias("__copies"))
-    plan = plan.where("__copies > 0").withColumnRenamed("doc_id", "__id")
-    taken = docs.join(plan, F.col("doc_id").eqNullSafe(F.col("__id")))
-    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
+    named, times, copy = (unused(docs, name) for name in ("mixed_id", "mixed_times", "mixed_copy"))
+    plan = mix(docs, **options).groupBy(F.col("doc_id").alias(named)).agg(F.max("copies").cast("int").alias(times))
+    taken = docs.join(plan.where(F.col(times) > 0), F.col("doc_id").eqNullSafe(F.col(named)))
+    return taken.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)

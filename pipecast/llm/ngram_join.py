@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pipecast.llm.store import keep, shuffle_partitions
+from pipecast.llm.store import freeing, keep, shuffle_partitions
 from pipecast.llm.words import Words, lists, mix, portions, runs, signed, whole_hash
 
 SKETCH_BITS = 20
@@ -429,7 +429,7 @@ def link_classes(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame,
     )
     placed = placed.select("class_id", "copies", "cluster", place.alias("places"))
     ids = documents.where("row_id = class_id").select("class_id", F.col("doc_id").alias("rep"), "s1", "s2")
-    # Texts are joined by sorting at every size, so that small runs tell what large ones cost.
+    # The side that meets the texts grows with them, so both are sorted.
     carried = texts.join(placed.join(ids, "class_id").hint("merge"), F.col("doc_id") == F.col("rep"))
     carried = carried.select("class_id", "copies", "s1", "s2", "cluster", F.explode("places").alias("x"), "text")
     carried = carried.select("class_id", "copies", "s1", "s2", "cluster", "x.p", "x.q", "x.side", "text")
@@ -454,6 +454,7 @@ def link_classes(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame,
     return documents, links, degrees.groupBy("a").agg(F.sum("links").alias("links"))
 
 
+@freeing
 def ngram_jaccard_join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, class_id, component_id, n_links): one row for each row of ``docs``.
 
@@ -484,5 +485,5 @@ def ngram_jaccard_join(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
 def keep_one_of_each_component(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with the smallest doc_id of each component; rows without doc_id stay. All columns as they were."""
     kept = ngram_jaccard_join(docs, width, percent).where("doc_id = component_id").select("doc_id").distinct()
-    known = docs.where("doc_id is not null").join(kept.hint("merge"), "doc_id", "left_semi").select(*docs.columns)
+    known = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").select(*docs.columns)
     return known.unionByName(docs.where("doc_id is null"))
