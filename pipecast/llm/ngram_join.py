@@ -44,7 +44,7 @@ SKETCH_BITS = 20
 # Classes at one shingle up to which pairs are formed.
 HOT_CLASSES = 24
 # Classes that a block of a hot cluster holds on average.
-BLOCK_CLASSES = 2_048
+BLOCK_CLASSES = 4_096
 # Rows of a lookup table (copied sets, groups of several classes) that are sent to every task.
 BROADCAST_ROWS = 100_000
 # Counters that one row of the sketch carries.
@@ -277,6 +277,7 @@ def _link_rows(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
     )
 
 
+@freeing
 def connected_components(links: DataFrame, name: str = "components") -> DataFrame:
     """(node, component): the smallest node each node of the links (a, b) reaches.
 
