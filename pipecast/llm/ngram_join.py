@@ -11,7 +11,7 @@ hashes; with fewer words, the whole sequence is the one shingle. Documents link
    this one keeps shingles that many documents share out of the prefixes.
 3. *Groups.* Two linked sets share a shingle among their first ``n - ceil(percent * n) + 1``.
    Classes with equal prefixes and size are one group; shingles of group prefixes that one
-   class alone has are dropped.
+   class alone has are dropped, and those that the same groups have count as one.
 4. *Group pairs.* Up to HOT_CLASSES classes at a shingle, pairs of groups are formed and filtered
    by size, then expanded to pairs of classes, each once. At hotter shingles pairs would grow in
    square: stars connect their groups instead.
@@ -315,7 +315,9 @@ def _looked_up(df: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
 def _postings(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(group_id, class_id, n, copies) and (token, group_id, n, members, weight) of shingles that several classes share.
 
-    ``weight`` is the number of classes at the token, ``members`` of the group.
+    ``weight`` is the number of classes at the token, ``members`` of the group. Shingles with the same
+    groups, as those of one passage are, stand together under one hash of these groups. Should two lists
+    of groups have the same hash, their groups become candidates of each other, which loses nothing.
     """
     classes = classes.withColumn("prefix_hash", F.xxhash64("prefix"))
     keys = ["n", "prefix_hash"]
@@ -330,8 +332,12 @@ def _postings(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.coalesce("members", F.lit(1)).alias("members"),
     )
     tokens = grouped.where("class_id = group_id").select("group_id", "n", "members", F.explode("prefix").alias("token"))
-    weight = F.sum("members").over(Window.partitionBy("token"))
-    shared = tokens.withColumn("weight", weight).where("weight > 1")
+    at_token = Window.partitionBy("token")
+    shared = tokens.withColumns(
+        {"weight": F.sum("members").over(at_token), "groups": F.bit_xor(F.xxhash64("group_id")).over(at_token)}
+    ).where("weight > 1")
+    names = ["group_id", "n", "members", "weight"]
+    shared = shared.select(F.xxhash64("groups", "weight").alias("token"), *names).distinct()
     return (
         keep(grouped.select("group_id", "class_id", "n", "copies"), "ngram-members"),
         keep(shared, "ngram-postings"),
@@ -430,9 +436,11 @@ def link_classes(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame,
     )
     placed = placed.select("class_id", "copies", "cluster", place.alias("places"))
     ids = documents.where("row_id = class_id").select("class_id", F.col("doc_id").alias("rep"), "s1", "s2")
-    # The side that meets the texts grows with them, so both are sorted.
-    carried = texts.join(placed.join(ids, "class_id").hint("merge"), F.col("doc_id") == F.col("rep"))
-    carried = carried.select("class_id", "copies", "s1", "s2", "cluster", F.explode("places").alias("x"), "text")
+    # One pass over the texts fetches those of all classes that are compared in either way.
+    concerned = placed.select("class_id").union(cold.select("a")).union(cold.select("b")).distinct().join(ids, "class_id")
+    fetched = texts.join(concerned.hint("merge"), F.col("doc_id") == F.col("rep"))  # both sides grow with the corpus
+    fetched = keep(fetched.select("class_id", "s1", "s2", "text"), "ngram-texts")
+    carried = fetched.join(placed, "class_id").select("class_id", "copies", "s1", "s2", "cluster", F.explode("places").alias("x"), "text")
     carried = carried.select("class_id", "copies", "s1", "s2", "cluster", "x.p", "x.q", "x.side", "text")
     blocks = carried.repartition(shuffle_partitions(docs.sparkSession), "cluster", "p", "q")
     compared = blocks.sortWithinPartitions("cluster", "p", "q").mapInArrow(
@@ -443,8 +451,8 @@ def link_classes(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame,
     links = compared.where("a <> b").select("a", "b")
     degrees = compared.where("a = b").select("a", "links")
     if cold.take(1):
-        needed = cold.select("a").union(cold.select("b")).distinct().toDF("class_id").join(ids, "class_id")
-        whole = texts.join(needed.hint("merge"), F.col("doc_id") == F.col("rep")).select("class_id", "s1", "s2", "text")
+        needed = cold.select("a").union(cold.select("b")).distinct().toDF("class_id")
+        whole = fetched.join(needed, "class_id").select("class_id", "s1", "s2", "text")
         whole = keep(whole.mapInArrow(_sets(width), "class_id long, items array<long>"), "ngram-sets")
         pairs = cold.join(whole.toDF("a", "items_a"), "a").join(whole.toDF("b", "items_b"), "b")
         found = keep(pairs.mapInArrow(_verify(percent), "a long, b long").distinct(), "ngram-pair-links")
