@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pipecast.llm.store import freeing, keep, shuffle_partitions
 from pipecast.llm.words import Words, lists, mix, portions, runs, signed, whole_hash
 
-SKETCH_BITS = 20
+SKETCH_BITS = 24
 # Classes at one shingle up to which pairs are formed.
 HOT_CLASSES = 24
 # Classes that a block of a hot cluster holds on average.
@@ -48,7 +48,9 @@ BLOCK_CLASSES = 4_096
 # Rows of a lookup table (copied sets, groups of several classes) that are sent to every task.
 BROADCAST_ROWS = 100_000
 # Counters that one row of the sketch carries.
-_SKETCH_ROW = 1 << 12
+_SKETCH_ROW = 1 << 16
+# Steps for each doubling of a count: 32 doublings fit in 16 bits.
+_LOG_STEPS = 2047
 
 
 def shingle_sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -74,41 +76,50 @@ def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
 
 def _counters(width: int):
     def counters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(1 << SKETCH_BITS, np.int64)
+        table = np.zeros(1 << SKETCH_BITS, np.uint8)
         for batch in batches:
             for part in portions(batch, "text"):
                 _, hashes = shingle_sets(part.column("text"), width)
-                table += np.bincount((hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(table))
-        yield _sketch_rows(range(len(table) // _SKETCH_ROW), table.reshape(-1, _SKETCH_ROW))
+                slots, often = np.unique(_slots(hashes), return_counts=True)
+                table[slots] = np.minimum(table[slots] + often, 255)
+        rows = table.reshape(-1, _SKETCH_ROW)
+        parts = np.flatnonzero(rows.any(axis=1))
+        packed = [pa.compress(rows[k].tobytes(), codec="zstd", asbytes=True) for k in parts]
+        yield _sketch_rows(parts, packed)
 
     return counters
 
 
-def _sketch_rows(parts, rows: np.ndarray) -> pa.RecordBatch:
-    bounds = np.arange(len(rows) + 1) * _SKETCH_ROW
+def _slots(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int32)
+
+
+def _sketch_rows(parts, rows: list[bytes]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(list(parts), pa.int64()), lists(rows.reshape(-1), bounds, pa.int64())], names=["part", "counts"]
+        [pa.array(list(parts), pa.int64()), pa.array(rows, pa.binary())], names=["part", "counts"]
     )
 
 
 def _add_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for each part of this task: the sum of its rows."""
+    """One row for each part of this task: the sum of its rows, as 16-bit logarithms, which keep the order."""
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
-        rows = batch.column("counts").flatten().to_numpy().reshape(-1, _SKETCH_ROW)
-        for part, row in zip(batch.column("part").to_pylist(), rows):
-            sums[part] = sums[part] + row if part in sums else row
+        for part, packed in zip(batch.column("part").to_pylist(), batch.column("counts").to_pylist()):
+            row = np.frombuffer(pa.decompress(packed, _SKETCH_ROW, codec="zstd", asbytes=True), np.uint8)
+            sums[part] = sums[part] + row if part in sums else row.astype(np.uint32)
     if sums:
-        yield _sketch_rows(sums, np.stack(list(sums.values())))
+        ranks = [(_LOG_STEPS * np.log2(1.0 + x)).astype(np.uint16).tobytes() for x in sums.values()]
+        yield _sketch_rows(sums, ranks)
 
 
 def shingle_counts(texts: DataFrame, width: int) -> np.ndarray:
-    """How many texts have the shingles of each counter. The driver gets 2**SKETCH_BITS numbers."""
-    schema = "part long, counts array<long>"
+    """How common the shingles of each counter are, as numbers in order. The driver gets 2**SKETCH_BITS of 16 bits."""
+    schema = "part long, counts binary"
     rows = texts.select("text").mapInArrow(_counters(width), schema)
     summed = rows.repartition(shuffle_partitions(texts.sparkSession), "part").mapInArrow(_add_sketches, schema).toArrow()
-    table = np.zeros((1 << SKETCH_BITS) // _SKETCH_ROW * _SKETCH_ROW, np.int64).reshape(-1, _SKETCH_ROW)
-    table[summed["part"].to_numpy()] = summed["counts"].combine_chunks().flatten().to_numpy().reshape(-1, _SKETCH_ROW)
+    table = np.zeros((1 << SKETCH_BITS) // _SKETCH_ROW * _SKETCH_ROW, np.uint16).reshape(-1, _SKETCH_ROW)
+    for part, ranks in zip(summed["part"].to_pylist(), summed["counts"].to_pylist()):
+        table[part] = np.frombuffer(ranks, np.uint16)
     return table.reshape(-1)
 
 
@@ -122,7 +133,7 @@ def _features(width: int, percent: int, counts: np.ndarray):
                 bounds, hashes = shingle_sets(part.column("text"), width)
                 n = np.diff(bounds)
                 owner = np.repeat(np.arange(len(n)), n)
-                order = np.lexsort((hashes, counts[(hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)], owner))
+                order = np.lexsort((hashes, counts[_slots(hashes)], owner))
                 ranked = hashes[order]
                 take = np.arange(len(ranked)) - np.repeat(bounds[:-1], n) < np.repeat(prefix_length(n, percent), n)
                 names = _set_names(bounds, hashes)
