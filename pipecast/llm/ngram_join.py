@@ -447,11 +447,13 @@ def link_classes(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame,
     )
     placed = placed.select("class_id", "copies", "cluster", place.alias("places"))
     ids = documents.where("row_id = class_id").select("class_id", F.col("doc_id").alias("rep"), "s1", "s2")
-    # One pass over the texts fetches those of all classes that are compared in either way.
-    concerned = placed.select("class_id").union(cold.select("a")).union(cold.select("b")).distinct().join(ids, "class_id")
+    # One pass over the texts fetches those of all classes that are compared in either way, with their places.
+    apart = cold.select("a").union(cold.select("b")).distinct().select(F.col("a").alias("class_id"), F.lit(True).alias("apart"))
+    concerned = placed.join(apart, "class_id", "full").join(ids, "class_id")
     fetched = texts.join(concerned.hint("merge"), F.col("doc_id") == F.col("rep"))  # both sides grow with the corpus
-    fetched = keep(fetched.select("class_id", "s1", "s2", "text"), "ngram-texts")
-    carried = fetched.join(placed, "class_id").select("class_id", "copies", "s1", "s2", "cluster", F.explode("places").alias("x"), "text")
+    fetched = fetched.select("class_id", "copies", "s1", "s2", "cluster", "places", "apart", "text")
+    fetched = keep(fetched, "ngram-texts")
+    carried = fetched.select("class_id", "copies", "s1", "s2", "cluster", F.explode("places").alias("x"), "text")
     carried = carried.select("class_id", "copies", "s1", "s2", "cluster", "x.p", "x.q", "x.side", "text")
     blocks = carried.repartition(shuffle_partitions(docs.sparkSession), "cluster", "p", "q")
     compared = blocks.sortWithinPartitions("cluster", "p", "q").mapInArrow(
@@ -462,8 +464,7 @@ def link_classes(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame,
     links = compared.where("a <> b").select("a", "b")
     degrees = compared.where("a = b").select("a", "links")
     if cold.take(1):
-        needed = cold.select("a").union(cold.select("b")).distinct().toDF("class_id")
-        whole = fetched.join(needed, "class_id").select("class_id", "s1", "s2", "text")
+        whole = fetched.where("apart").select("class_id", "s1", "s2", "text")
         whole = keep(whole.mapInArrow(_sets(width), "class_id long, items array<long>"), "ngram-sets")
         pairs = cold.join(whole.toDF("a", "items_a"), "a").join(whole.toDF("b", "items_b"), "b")
         found = keep(pairs.mapInArrow(_verify(percent), "a long, b long").distinct(), "ngram-pair-links")
