@@ -92,8 +92,9 @@ class PieceTable:
 def start_probabilities(vocabulary: Vocabulary, table: PieceTable) -> np.ndarray:
     """Log probability by piece id from the vocabulary's ranks."""
     weights = np.zeros(table.size)
+    known = vocabulary.weights
     for i in vocabulary.inside_words:
-        weights[i] = 1.0 / (10.0 - vocabulary.scores[i])
+        weights[i] = known[i]
     weights[table.byte_ids] = weights[weights > 0].min()
     with np.errstate(divide="ignore"):
         return np.log(weights / weights.sum())

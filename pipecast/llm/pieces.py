@@ -1,22 +1,30 @@
 """SentencePiece encoding and decoding by a Viterbi search with shared prefixes.
 
-A text is cut at its spaces into marked words (each begins with the mark that stands for the
-space before it). The distinct words of a batch, sorted, are the depth-first walk through
-their trie: going from a word to the next, the forward scores of the common prefix are kept
-and only the rest is searched. The best path maximises the sum of the vocabulary's scores; of
-equal paths the one with the longer last piece wins. A character without a piece costs more
-than any piece and is written as its UTF-8 bytes.
+A text is cut before each run of spaces into marked words (each begins with the marks that stand
+for the spaces before it; no piece has a mark after another character). The distinct words of a
+batch, sorted, are the depth-first walk through their trie: going from a word to the next, the
+forward scores of the common prefix are kept and only the rest is searched. The best path
+maximises the sum of the logarithms of the pieces' weights; of equal paths the one with the longer
+last piece wins. A character without a piece costs more than any piece and is written as its UTF-8
+bytes.
+
+The installed vocabulary is one of byte pair encoding: it has ranks of merges and no
+probabilities. A piece of rank r weighs 1 / (r + 10), as in the language model. So paths are best by
+these weights, and differ from those that the merges give.
 
 Decoding joins the pieces and is exact for every text: a literal mark character is written
 as bytes, so it is not taken for a space. Null and empty texts have no pieces and decode to
-the empty text. Vocabulary and word cache are bounded; nothing is shuffled.
+the empty text. Very long texts are taken whole, repeated rows are encoded each, an empty table
+gives an empty result. Vocabulary and word cache are bounded; nothing is shuffled.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterable, Iterator, Sequence
 from itertools import chain
+from math import log
 
 import numpy as np
 import pyarrow as pa
@@ -30,15 +38,24 @@ from pipecast.llm.words import portions
 CACHE_WORDS = 300_000
 # Stands for a literal mark inside a word; no valid text contains it.
 _LITERAL_MARK = "\udcff"
+_MARKED_WORD = re.compile(f"{MARK}+[^{MARK}]*")
+
+
+def marked_words(text: str) -> list[str]:
+    """The words of a text, each with the marks of the spaces before it."""
+    text = text.replace(MARK, _LITERAL_MARK) if MARK in text else text
+    if "  " in text or text[0] == " ":
+        return _MARKED_WORD.findall(MARK + text.replace(" ", MARK))
+    return [MARK + word for word in text.split(" ")]
 
 
 class Segmenter:
     """Best segmentations of marked words under a vocabulary."""
 
     def __init__(self, vocabulary: Vocabulary, cache_words: int = CACHE_WORDS) -> None:
-        self.table = {vocabulary.pieces[i]: (vocabulary.scores[i], i) for i in vocabulary.inside_words}
+        self.table = {vocabulary.pieces[i]: (log(weight), i) for i, weight in vocabulary.weights.items()}
         self.longest = max(map(len, self.table))
-        self.unknown_score = min(vocabulary.scores) - 10.0
+        self.unknown_score = min(score for score, _ in self.table.values()) - 10.0
         self.byte_ids = vocabulary.byte_ids
         self.cache: dict[str, tuple[int, ...]] = {}
         self.cache_words = cache_words
@@ -89,8 +106,7 @@ class Segmenter:
             if not text:
                 marked.append([])
                 continue
-            words = text.replace(MARK, _LITERAL_MARK).split(" ") if MARK in text else text.split(" ")
-            marked.append([MARK + word for word in words])
+            marked.append(marked_words(text))
         if len(self.cache) > self.cache_words:
             self.cache.clear()
         new = sorted({word for words in marked for word in words if word not in self.cache})

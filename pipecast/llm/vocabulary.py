@@ -18,6 +18,11 @@ class Vocabulary:
     plain: list[int]
     byte_ids: list[int]
 
+    @property
+    def weights(self) -> dict[int, float]:
+        """Weight of each plain piece. The scores are minus the rank r of a merge, whose weight is 1 / (r + 10)."""
+        return {i: 1.0 / (10.0 - self.scores[i]) for i in self.plain}
+
     @property
     def inside_words(self) -> list[int]:
         """Plain pieces that fit in one marked word: no mark but at the start."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -13,7 +14,7 @@ import corpus_pipeline
 from pipecast.llm import chat, exact_dedup, fingerprints, language_id, lattice, mixing, ngram_join, pieces, substrings, toxicity
 from pipecast.llm import words as words_module
 from pipecast.llm.store import read
-from pipecast.llm.vocabulary import load_vocabulary
+from pipecast.llm.vocabulary import VOCABULARY_FILE, load_vocabulary
 from tests.conftest import SMALL
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row_id string"
@@ -264,14 +265,34 @@ def brute_best(word, table, unknown):
 
 def test_segmentations_are_best(spark):
     vocabulary = load_vocabulary()
-    table = {vocabulary.pieces[i]: vocabulary.scores[i] for i in vocabulary.inside_words}
+    table = {vocabulary.pieces[i]: -math.log(10 - vocabulary.scores[i]) for i in vocabulary.plain}
     segmenter = pieces.Segmenter(vocabulary)
     texts = [r.text for r in read(spark, SMALL, "documents").limit(40).collect()]
-    found = sorted({"▁" + w for t in texts for w in t.split(" ")})
+    found = sorted({"▁" + w for t in texts for w in t.split(" ")} | {"▁" * 5 + "if", "▁" * 40})
     for word, ids in segmenter.segment(found):
         if all(i not in vocabulary.byte_ids for i in ids):
             assert "".join(vocabulary.pieces[i] for i in ids) == word
-            assert sum(vocabulary.scores[i] for i in ids) == brute_best(word, table, segmenter.unknown_score)
+            score = sum(table[vocabulary.pieces[i]] for i in ids)
+            assert score == pytest.approx(brute_best(word, table, segmenter.unknown_score), rel=1e-12)
+
+
+def test_runs_of_spaces_and_number_of_pieces(spark):
+    """Spaces in a row are single pieces; on whole texts there are few more pieces than by merges."""
+    from sentencepiece import SentencePieceProcessor
+
+    vocabulary = load_vocabulary()
+    segmenter = pieces.Segmenter(vocabulary)
+    assert all(set(vocabulary.pieces[i].lstrip("▁")).isdisjoint("▁") for i in vocabulary.plain)
+    back = pieces.Joiner(vocabulary)
+    for text in ("a        b", "  a", "a  ", " ", "    ", "x ▁  y"):
+        (ids,) = segmenter.encode([text])
+        assert back.decode(ids) == text
+    (ids,) = segmenter.encode(["a" + " " * 8 + "b"])
+    assert len(ids) <= 4
+    owner = SentencePieceProcessor(model_file=VOCABULARY_FILE)
+    texts = [r.text for r in read(spark, SMALL, "documents").collect() if r.text]
+    ours, merged = sum(map(len, segmenter.encode(texts))), sum(map(len, owner.encode(texts)))
+    assert ours <= 1.06 * merged
 
 
 # --- fingerprints -------------------------------------------------------------------------------
