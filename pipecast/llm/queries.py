@@ -82,6 +82,65 @@ def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_tokenizers(read(spark, sf_dir, "documents"))
 
 
+# Links from the shared shingles of every pair that shares one, components from all that links reach.
+OP1_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), spots AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p, greatest(len(w) - 3, 1) AS starts FROM words
+), runs AS (
+  SELECT doc_id, p, starts, string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING) AS shingle
+  FROM spots
+), shingles AS (
+  SELECT DISTINCT doc_id, shingle FROM runs WHERE p <= starts
+), sets AS (
+  SELECT doc_id, count(*) AS n, list(shingle ORDER BY shingle) AS shingles FROM shingles GROUP BY doc_id
+), classes AS (
+  SELECT doc_id, n, min(doc_id) OVER (PARTITION BY shingles) AS class_id FROM sets
+), links AS (
+  SELECT a, b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+    FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id
+  ) JOIN sets s ON s.doc_id = a JOIN sets t ON t.doc_id = b
+  WHERE 100 * shared >= 85 * (s.n + t.n - shared)
+), reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT reached.doc_id, links.b FROM reached JOIN links ON links.a = reached.other
+), components AS (
+  SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id
+), degrees AS (
+  SELECT a AS doc_id, count(*) AS n_links FROM links GROUP BY a
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(class_id, doc_id) AS class_id, component_id, coalesce(n_links, 0) AS n_links
+FROM components LEFT JOIN classes USING (doc_id) LEFT JOIN degrees USING (doc_id)
+"""
+
+# Every window is compared as text.
+OP8_SQL = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), spots AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p, len(w) - 34 AS starts FROM words
+), runs AS (
+  SELECT *, string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING) AS passage
+  FROM spots
+), marked AS (
+  SELECT doc_id, word, p, p <= starts AND count(*) FILTER (WHERE p <= starts) OVER (PARTITION BY passage) > 1 AS recurs FROM runs
+), covered AS (
+  SELECT doc_id, word, p, bool_or(recurs) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone
+  FROM marked
+), kept AS (
+  SELECT doc_id, count(*) AS n_words, count(*) FILTER (WHERE gone) AS n_removed,
+         string_agg(word, ' ' ORDER BY p) FILTER (WHERE NOT gone) AS rest
+  FROM covered GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(rest, '')) AS kept_sha256
+FROM documents LEFT JOIN kept USING (doc_id)
+"""
+
 OP10_SQL = r"""
 WITH turns AS (
   SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL
@@ -135,6 +194,8 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_ngram_jaccard_join": OP1_SQL,
+        "op8_substring_dedup": OP8_SQL,
         "op9_exact_dedup": OP9_SQL,
         "op10_chat_format": OP10_SQL,
     }

@@ -11,10 +11,11 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from pipecast.llm import chat, exact_dedup, fingerprints, language_id, lattice, mixing, ngram_join, pieces, substrings, toxicity
+from pipecast.llm import chat, exact_dedup, fingerprints, language_id, lattice, mixing, ngram_join, pieces, queries, substrings, toxicity
 from pipecast.llm import words as words_module
 from pipecast.llm.store import read
 from pipecast.llm.vocabulary import VOCABULARY_FILE, load_vocabulary
+from tests.compare import connect, duckdb_result, spark_result
 from tests.conftest import SMALL
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row_id string"
@@ -91,6 +92,13 @@ def test_words_and_windows():
     assert list(starts) == [0, 1, 3, 5] and hashes[1] == hashes[3]
 
 
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_query_matches_sql(spark, name):
+    columns, rows = spark_result(queries.queries()[name](spark, SMALL))
+    assert (columns, rows) == duckdb_result(connect(SMALL), queries.oracle_sql()[name])
+    assert rows
+
+
 # --- exact deduplication ------------------------------------------------------------------------
 
 
@@ -111,6 +119,18 @@ def test_exact_duplicates(docs, bucket_bytes):
     assert kept.count() == len(groups) and kept.where("not (doc_id <=> keep_id)").count() == 0
 
 
+@pytest.mark.parametrize("bucket_bytes, remembered", [(1, 0), (10**9, 0), (10**9, 10**9)])
+def test_dropping_copies_keeps_the_least(docs, monkeypatch, bucket_bytes, remembered):
+    monkeypatch.setattr(exact_dedup, "REMEMBERED_BYTES", remembered)
+    groups = defaultdict(list)
+    for r in odd_rows():
+        groups[re.sub(r"[\x20\x09-\x0D]+", " ", r[1] or "")].append(r)
+    expected = Counter(min(g, key=lambda r: (r[0] is None, r[0] or 0)) for g in groups.values())
+    many = docs.union(docs).union(docs.orderBy(F.desc("doc_id")))
+    assert as_counter(exact_dedup.drop_duplicates(many, bucket_bytes)) == expected
+    assert as_counter(exact_dedup.drop_duplicates(docs.withColumn("tie", F.create_map(F.lit("k"), "source"))).select(docs.columns)) == expected
+
+
 def test_dropping_copies_keeps_columns(docs, nothing):
     out = exact_dedup.drop_duplicates(docs)
     assert out.schema.names == docs.schema.names
