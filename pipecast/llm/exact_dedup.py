@@ -15,13 +15,19 @@ bucket's distinct texts fit a table, and tables compare complete texts:
 4. Members get their class through their representative. A representative has at most a
    batch of members, so no key is hot.
 
+``drop_duplicates`` needs no members: it sends whole rows to the buckets, and the tables give
+the rows that stay.
+
 Equal digests alone never make two texts equal. Null text counts as empty. Rows with the
 same doc_id are separate rows; of equal rows, the first written stays. A null doc_id sorts
-last. An empty table gives an empty result.
+last. An empty table gives an empty result. Very long texts are taken whole; a single text
+over a bucket's bound has a bucket of its own. Further columns are kept by
+``drop_duplicates``, whatever their names, and not read otherwise.
 """
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -30,10 +36,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pipecast.llm.store import freeing, keep, shuffle_partitions
+from pipecast.llm.store import freeing, keep, scratch, shuffle_partitions
 
 # Bytes of distinct text that one bucket's table may hold.
 BUCKET_BYTES = 64_000_000
+# Bytes of text that a task remembers to drop copies ahead of the shuffle; any number gives the same result.
+REMEMBERED_BYTES = 32_000_000
 # Hash bits added when buckets are too large, and when to stop.
 SPLIT_BITS = 4
 MOST_BITS = 60
@@ -116,13 +124,10 @@ def partition_level(reps: DataFrame, bucket_bytes: int) -> int:
     return level
 
 
-def _resolved(docs: DataFrame, columns: list[str], bucket_bytes: int) -> tuple[DataFrame, DataFrame]:
-    """(every row with its representative, every representative with its class's first row and size).
-
-    Representatives carry ``columns`` as the struct ``row``.
-    """
+def _resolved(docs: DataFrame, bucket_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """(every row with its representative, every representative with its class's first row and size)."""
     text = docs.select(
-        "doc_id", normalised(F.col("text")).alias("content"), F.struct(*columns).alias("row")
+        "doc_id", normalised(F.col("text")).alias("content"), F.struct("text").alias("row")
     ).select(
         "doc_id",
         "content",
@@ -151,7 +156,7 @@ def _resolved(docs: DataFrame, columns: list[str], bucket_bytes: int) -> tuple[D
 @freeing
 def exact_duplicates(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """(doc_id, keep_id, group_size, kept, text_sha256): one row for each row of ``docs``."""
-    rows, resolved = _resolved(docs, ["text"], bucket_bytes)
+    rows, resolved = _resolved(docs, bucket_bytes)
     return rows.select("doc_id", "row_id", "rep_id", "digest").join(resolved, "rep_id").select(
         "doc_id",
         F.col("first.doc_id").alias("keep_id"),
@@ -161,8 +166,88 @@ def exact_duplicates(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataF
     )
 
 
+def _order(doc_id, tie) -> tuple:
+    """Rows of equal text in order: by doc_id, nulls last, then by the hash of all their columns."""
+    return (doc_id is None, 0 if doc_id is None else doc_id, tie)
+
+
+def _least_of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Leave out rows that a row of equal text seen before in this task precedes.
+
+    The latest texts are remembered, REMEMBERED_BYTES of them: a text held by a third of all rows
+    leaves a task a few times, however many copies the task reads.
+    """
+    seen: OrderedDict[str, tuple] = OrderedDict()
+    held = 0
+    for batch in batches:
+        rows = []
+        for k, (doc_id, tie, text, size) in enumerate(
+            zip(*(batch.column(name).to_pylist() for name in ("doc_id", "tie", "content", "size")))
+        ):
+            order, before = _order(doc_id, tie), seen.get(text)
+            if before is None:
+                held += size
+            else:
+                seen.move_to_end(text)
+                if before <= order:
+                    continue
+            seen[text] = order
+            rows.append(k)
+        while held > REMEMBERED_BYTES:
+            held -= len(seen.popitem(last=False)[0].encode("utf-8"))
+        yield batch.select(["doc_id", "tie", "bucket", "row"]).take(pa.array(rows, pa.int64()))
+
+
+def _least_of_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One table for each bucket of this task; of equal texts the first row in order comes out.
+
+    Rows arrive sorted by bucket, so one table is held at a time, with the rows that entered it.
+    """
+    bucket, table, parts = None, {}, []
+
+    def first_rows() -> Iterator[pa.RecordBatch]:
+        alive = [[] for _ in parts]
+        for _, part, k in table.values():
+            alive[part].append(k)
+        for part, rows in zip(parts, alive):
+            if rows:
+                yield pa.RecordBatch.from_arrays([part.take(pa.array(sorted(rows)))], names=["row"])
+
+    for batch in batches:
+        entered = []
+        rows = zip(*(batch.column(name).to_pylist() for name in ("bucket", "doc_id", "tie", "content")))
+        for k, (b, doc_id, tie, text) in enumerate(rows):
+            if b != bucket:
+                parts.append(batch.column("row").take(pa.array(entered, pa.int64())))
+                yield from first_rows()
+                bucket, table, parts, entered = b, {}, [], []
+            order, before = _order(doc_id, tie), table.get(text)
+            if before is None or order < before[0]:
+                table[text] = (order, len(parts), len(entered))
+                entered.append(k)
+        parts.append(batch.column("row").take(pa.array(entered, pa.int64())))
+    yield from first_rows()
+
+
 def drop_duplicates(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """``docs`` with one row of each group of equal texts: the smallest doc_id, all columns as they were."""
-    rows, resolved = _resolved(docs, docs.columns, bucket_bytes)
-    firsts = resolved.where("rep_id = first.row_id").select("rep_id")
-    return rows.where("row_id = rep_id").join(firsts, "rep_id", "left_semi").select("row.*")
+    """``docs`` with one row of each group of equal texts: the smallest doc_id, all columns as they were.
+
+    Whole rows go to the buckets, so a text is shuffled once and the tables give the result. Of
+    rows with the same text and doc_id, the one whose columns have the smallest hash stays.
+    """
+    hashed = [f.name for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    texts = docs.select(
+        "doc_id", normalised(F.col("text")).alias("content"), F.xxhash64(*hashed).alias("tie"), F.struct(*docs.columns).alias("row")
+    )
+    texts = texts.select(
+        "*", F.octet_length("content").cast("long").alias("size"), F.unhex(F.sha2("content", 256)).alias("digest")
+    )
+    with scratch(docs.sparkSession):
+        level = partition_level(texts.select("size", "digest"), bucket_bytes)
+    dealt = texts.select("doc_id", "tie", "content", "size", _bucket(level).alias("bucket"), "row")
+    fields = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, tie long, bucket long"
+    row = T.StructField("row", texts.schema["row"].dataType)
+    few = dealt.mapInArrow(_least_of_task, T.StructType([*T.StructType.fromDDL(fields).fields, row]))
+    spilled = few.repartition(shuffle_partitions(docs.sparkSession), "bucket").sortWithinPartitions("bucket")
+    spilled = spilled.withColumn("content", normalised(F.col("row.text")))
+    return spilled.mapInArrow(_least_of_buckets, T.StructType([row])).select("row.*")

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import gc
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +34,20 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what is kept inside; what comes out is stored elsewhere or a plain number."""
+    _kept.append([])
+    try:
+        yield
+    finally:
+        folders = _kept.pop()
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        for folder in folders:
+            _delete(spark, folder)
+
+
 def freeing(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     """Store an operator's result, then delete all that it kept on the way.
 
@@ -43,19 +58,12 @@ def freeing(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     @wraps(operator)
     def run(docs: DataFrame, *args, **options) -> DataFrame:
         spark = docs.sparkSession
-        _kept.append([])
-        try:
+        with scratch(spark):
             result = operator(docs, *args, **options)
             path = run_folder(spark, operator.__name__)
             result.write.parquet(path)
             schema = result.schema
             del result
-        finally:
-            folders = _kept.pop()
-            gc.collect()
-            spark.sparkContext._jvm.System.gc()
-            for folder in folders:
-                _delete(spark, folder)
         if _kept:
             _kept[-1].append(path)
         return spark.read.schema(schema).parquet(path)
