@@ -159,6 +159,8 @@ _COUNTED = f"""
            OR bookingexception__c = 'Y')
       AND lower(owner_name) NOT LIKE '%integration%' AND account__c <> '' AND id <> '{BOOKING_ID}'"""
 
+_KNOWN_DAYS = f" AND e.dt <= {AS_OF}"
+
 _STEPS = f"""
 touched_pipe AS (
     SELECT o.dt, q.fy_quarter, coalesce(m.sales_div_clean, 'UnDefined') AS sales_div,
@@ -217,7 +219,7 @@ assembled AS (
     LEFT JOIN finish c ON c.sales_div = g.sales_div AND c.fy_quarter = g.fy_quarter
     LEFT JOIN touched_pipe p ON p.dt + 1 = e.dt AND p.sales_div = g.sales_div AND p.fy_quarter = g.fy_quarter
     LEFT JOIN open_pipe a ON a.dt + 1 = e.dt AND a.sales_div = g.sales_div AND a.fy_quarter = g.fy_quarter
-    WHERE p.sales_div NOT IN ({EXCLUDED}) AND e.dt <= {AS_OF}
+    WHERE p.sales_div NOT IN ({EXCLUDED}){_KNOWN_DAYS}
 ),
 latest AS (SELECT max(booking_date__c) AS day FROM bookings WHERE booking_date__c <= {AS_OF}),
 running AS (SELECT qtr_start FROM quarter_mapping WHERE {AS_OF} BETWEEN qtr_start AND qtr_end),
@@ -656,6 +658,8 @@ def oracle_sql() -> dict[str, str]:
         together=True,
     )
     oracles["view_test_backdated"] = _sql(_SLICES["test"]).replace(AS_OF, f"DATE '{BACK_DATED.as_of}'")
+    # The ratios are those of every day, as they were before rows ended at the run's day.
+    oracles["proj_feature_ratios"] = oracles["proj_feature_ratios"].replace(_KNOWN_DAYS, "")
     oracles["sink_named_view"] = _view_counts()
     oracles["sink_named_view_contents"] = _view_contents()
     for name, body in _SLICES.items():

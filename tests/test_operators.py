@@ -213,3 +213,11 @@ def test_scores(spark):
     assert scores["avg_abs_var_finish"] == pytest.approx(2 / 3)
     assert scores["avg_abs_var_pct"] == pytest.approx((0.5 + 0.25) / 2)
     assert (scores["rows_without_pct"], scores["n_rows"]) == (1, 3)
+
+
+def test_feature_rows_of_later_days(spark):
+    """On demand every day with snapshots has its row, the ones after the run's day, too."""
+    start = date(2001, 5, 1)
+    src = make_sources(spark, [opportunity("1", d) for d in days(start, 60)], [booking("b", start, 50)])
+    rows = build_features(src, CFG, later_days=True).select("dt").collect()
+    assert sorted(r["dt"] for r in rows) == days(start + timedelta(days=1), 60)
