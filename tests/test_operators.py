@@ -221,3 +221,16 @@ def test_feature_rows_of_later_days(spark):
     src = make_sources(spark, [opportunity("1", d) for d in days(start, 60)], [booking("b", start, 50)])
     rows = build_features(src, CFG, later_days=True).select("dt").collect()
     assert sorted(r["dt"] for r in rows) == days(start + timedelta(days=1), 60)
+
+
+def test_accounts_are_looked_up_without_sorting_or_grouping_snapshots(spark):
+    start = date(2001, 5, 1)
+    rows = [opportunity(k, start, accountid=a) for k, a in (("1", "7"), ("2", "7"), ("3", "8"), ("4", None), ("5", "9"))]
+    accounts = spark.createDataFrame([("7",), ("9",), ("9",), (None,)], schemas.ACCOUNT)
+    known = joins.join_account(spark.createDataFrame(rows, schemas.OPPORTUNITY_HISTORY), accounts)
+    assert sorted((r["id"], r["account_id"]) for r in known.select("id", "account_id").collect() if r["account_id"]) == [
+        ("1", "7"), ("2", "7"), ("5", "9"), ("5", "9")
+    ]
+    assert sorted(r["id"] for r in known.where("account_id is null").select("id").collect()) == ["3", "4"]
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "Sort " not in plan
