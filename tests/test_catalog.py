@@ -78,3 +78,13 @@ def test_small_slices_read_few_orders(spark, capsys):
     build_slice("test", ws.sources(spark, SMALL), ws.CONFIG, ws.dates(spark, SMALL)).explain("formatted")
     plan = capsys.readouterr().out
     assert "GreaterThanOrEqual(o_orderdate" in plan or "o_orderdate" in plan.split("PushedFilters")[1]
+
+
+def test_whole_numbers_are_those_of_a_cast(spark):
+    """Texts that cannot be a number are not tried, and all that can be are."""
+    from pipecast.queries.catalog import _whole_number
+
+    texts = ["7", "-7", "+7", " 7", "7 ", "\t7\n", "\x7f7", "\x007", "gone7", "7a", "7.5", "", ":", "é7", "9" * 30, None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    both = rows.select("t", _whole_number("t").alias("found"), F.expr("try_cast(t as bigint)").alias("cast")).collect()
+    assert [r["found"] for r in both] == [r["cast"] for r in both]
