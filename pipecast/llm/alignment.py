@@ -31,6 +31,7 @@ Odd rows:
 from __future__ import annotations
 
 import hashlib
+import os
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -82,6 +83,8 @@ class Side:
 @lru_cache(maxsize=2)
 def byte_side(path: str) -> Side:
     """Tokenizer A from its JSON file. The texts are given with their leading space."""
+    # A task has one core; threads of their own would each hold memory.
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
     model = Tokenizer.from_file(path)
@@ -155,6 +158,8 @@ class Aligner:
     def __init__(self, a: Side, b: Side, remembered: int = REMEMBERED) -> None:
         self.a, self.b, self.remembered = a, b, remembered
         self.lengths_a, self.lengths_b = a.lengths, b.lengths
+        # A pair of ids is one number, which takes 4 bytes unless the vocabularies are large.
+        self.pair = "i" if len(a.tokens) * len(b.tokens) <= 1 << 31 else "q"
         # Written ids with the sign that follows: within a group, at its end, on either side.
         self.marked = [f"{i}{sign}" for side, signs in ((a, ",|"), (b, ",;")) for sign in signs for i in range(len(side.tokens))]
         self.forget()
@@ -165,7 +170,7 @@ class Aligner:
         self.characters = 0
         self.whole = array("b")  # whether both sides' tokens give the part's bytes
         self.n_a, self.n_b, self.n_groups = array("q"), array("q"), array("q")
-        self.links, self.ends = array("q"), array("q", [0])
+        self.links, self.ends = array(self.pair), array("q", [0])
 
     def number(self, texts: list[str | None], size: int = BLOCK) -> list[tuple[np.ndarray, str]]:
         """For each text the numbers of its parts in order and the digest of their written groups.
@@ -231,19 +236,22 @@ class Aligner:
             (self.n_b, n_b),
             (self.n_groups, group_counts.astype(np.int64)),
             (self.ends, len(self.links) + link_counts.astype(np.int64)),
-            (self.links, linked),
+            (self.links, linked.astype(self.pair)),
         ):
             own.frombytes(values.tobytes())
 
     def give_bytes(self, parts: list[str], sizes: list[int], encoded: tuple[list, list]) -> list[bool]:
         """Whether both sides' tokens join to a space and the part."""
         joined = (" " + " ".join(parts)).encode()
-        cuts = np.concatenate([[0], np.cumsum(sizes)]).tolist()
         fine = [True] * len(parts)
         for side, own in zip((self.a, self.b), encoded):
+            pieces = [side.tokens[i] for ids in own for i in ids]
+            ends = np.cumsum([0, *map(len, pieces)])
+            if b"".join(pieces) == joined and (np.diff(ends[np.cumsum([0, *map(len, own)])]) == sizes).all():
+                continue
+            cuts = np.concatenate([[0], np.cumsum(sizes)]).tolist()
             pieces = [b"".join([side.tokens[i] for i in ids]) for ids in own]
-            if b"".join(pieces) != joined or any(len(p) != n for p, n in zip(pieces, sizes)):
-                fine = [f and p == joined[i:j] for f, p, i, j in zip(fine, pieces, cuts, cuts[1:])]
+            fine = [f and p == joined[i:j] for f, p, i, j in zip(fine, pieces, cuts, cuts[1:])]
         return fine
 
     def signs(self, ids_a: np.ndarray, ids_b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> list[str]:
@@ -291,7 +299,10 @@ def _portion_of(part: pa.RecordBatch, aligner: Aligner, number: int, names: list
         aligner.forget()
     found = aligner.number(part.column("text").to_pylist())
     n = len(found)
-    used, codes = np.unique(np.concatenate([f[0] for f in found]), return_inverse=True)
+    codes = np.concatenate([f[0] for f in found])
+    seen = np.bincount(codes, minlength=len(aligner.whole)) > 0
+    used = np.flatnonzero(seen)
+    codes = (np.cumsum(seen, dtype=np.int32) - 1)[codes]
     owner = np.repeat(np.arange(n), [len(f[0]) for f in found])
     size = max(len(used), 1)
     held, times = np.unique(owner * size + codes, return_counts=True)
@@ -300,8 +311,9 @@ def _portion_of(part: pa.RecordBatch, aligner: Aligner, number: int, names: list
     firsts, lasts = np.frombuffer(aligner.ends, np.int64)[:-1][used], np.frombuffer(aligner.ends, np.int64)[1:][used]
     counts = lasts - firsts
     ends = np.concatenate([[0], np.cumsum(counts)])
-    flat = np.frombuffer(aligner.links, np.int64)[np.arange(ends[-1]) + np.repeat(firsts - ends[:-1], counts)]
+    flat = np.frombuffer(aligner.links, aligner.pair)[np.arange(ends[-1]) + np.repeat(firsts - ends[:-1], counts)]
     pairs, links = np.unique(flat, return_inverse=True)
+    pairs = pairs.astype(np.int64)
     occurs = np.bincount(codes, times, len(used)).astype(np.int64)  # of each part in the portion
     totals = np.bincount(links, np.repeat(occurs, counts), len(pairs)).astype(np.int64)
 

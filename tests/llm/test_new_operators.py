@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 from collections import Counter
 
 import numpy as np
@@ -234,6 +235,25 @@ def test_blocks_and_forgetting_change_nothing():
     assert len(codes) > 500 and digest and len(none) == len(empty) == 0 and no_digest == ""
 
 
+def test_a_task_encodes_without_threads_and_keeps_links_short(monkeypatch):
+    """Threads of the tokenizer and wide numbers of pairs each took memory of every task."""
+    monkeypatch.delenv("TOKENIZERS_PARALLELISM", raising=False)
+    a = alignment.byte_side.__wrapped__(alignment.BYTE_VOCABULARY_FILE)
+    assert os.environ["TOKENIZERS_PARALLELISM"] == "false"
+    b = alignment.piece_side(VOCABULARY_FILE)
+    aligner = alignment.Aligner(a, b)
+    aligner.number(["one text", "▁ another", "été 漢字"])
+    assert aligner.links.itemsize == 4 and max(aligner.links) < len(a.tokens) * len(b.tokens)
+    # Lengths that agree are not enough, nor are bytes that agree as a whole.
+    parts, ids = ["ab", "cd"], [a.encode([" ab"])[0], a.encode([" cd"])[0]]
+    sizes = [3, 3]
+    twice = alignment.Aligner(a, a)
+    assert twice.give_bytes(parts, sizes, (ids, ids)) == [True, True]
+    assert twice.give_bytes(parts, sizes, (ids, ids[::-1])) == [False, False]
+    assert twice.give_bytes(parts, sizes, (ids, [ids[0] + ids[1], []])) == [False, False]
+    assert twice.give_bytes(parts, sizes, (ids, [ids[0], ids[0]])) == [True, False]
+
+
 # --- quality ------------------------------------------------------------------------------------
 
 
