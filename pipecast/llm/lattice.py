@@ -55,6 +55,9 @@ HELD_OUT_FOLD = 1
 
 _PIECE_BASE = 0xA0761D6478BD642F
 _FILTER_BITS = 22
+# Numbers of first bytes after which it is looked up how long the pieces that begin with them are at most.
+_PREFIXES = (3, 6, 9)
+_PREFIX_BITS = 20
 _MARK_BYTES = np.frombuffer(MARK.encode("utf-8"), np.uint8)
 _LN10 = float(np.log(10.0))
 
@@ -73,6 +76,7 @@ class PieceTable:
     keys: np.ndarray
     ids: np.ndarray
     filter: np.ndarray
+    longest: dict[int, np.ndarray]
     lengths: list[int]
     byte_ids: np.ndarray
     size: int
@@ -86,7 +90,13 @@ class PieceTable:
         seen = np.zeros(1 << _FILTER_BITS, bool)
         seen[keys >> np.uint64(64 - _FILTER_BITS)] = True
         lengths = sorted({len(c) for c in coded})
-        return cls(keys[order], np.array(ids)[order], seen, lengths, np.array(vocabulary.byte_ids), len(vocabulary.pieces))
+        longest = {}
+        for n in set(_PREFIXES).intersection(lengths):
+            longest[n] = np.zeros(1 << _PREFIX_BITS, np.int64)
+            long = [c for c in coded if len(c) >= n]
+            slots = np.array([_piece_keys(c[:n], n)[0] for c in long], np.uint64) >> np.uint64(64 - _PREFIX_BITS)
+            np.maximum.at(longest[n], slots, [len(c) for c in long])
+        return cls(keys[order], np.array(ids)[order], seen, longest, lengths, np.array(vocabulary.byte_ids), len(vocabulary.pieces))
 
 
 def start_probabilities(vocabulary: Vocabulary, table: PieceTable) -> np.ndarray:
@@ -100,6 +110,14 @@ def start_probabilities(vocabulary: Vocabulary, table: PieceTable) -> np.ndarray
         return np.log(weights / weights.sum())
 
 
+def _stable_order(key: np.ndarray) -> np.ndarray:
+    """The order that sorts non-negative ``key``, equal ones as they come."""
+    n = len(key)
+    if n and int(key.max()) < np.iinfo(np.int64).max // n - 1:
+        return np.sort(key * n + np.arange(n)) % n  # sorting numbers is faster than sorting their places
+    return np.argsort(key, kind="stable")
+
+
 class Lattice:
     """The edges of a run of marked words and the recursions over them."""
 
@@ -117,18 +135,25 @@ class Lattice:
         froms, tos, pieces = [], [], []
         up, down = powers(_PIECE_BASE, len(flat) + 1)
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((flat.astype(np.uint64) + np.uint64(1)) * up[:-1])])
+        places = np.arange(len(flat))
+        room = end_of - places
         for length in table.lengths:
-            if length > len(flat):
-                break
-            keys = mix((sums[length:] - sums[:-length]) * down[: len(sums) - length])
-            places = np.flatnonzero(table.filter[keys >> np.uint64(64 - _FILTER_BITS)])
-            places = places[places + length <= end_of[places]]
-            at = np.searchsorted(table.keys, keys[places])
+            # Lengths ascend, so a place that lacks the room for one has none for the next.
+            places = places[room[places] >= length]
+            keys = mix((sums[places + length] - sums[places]) * down[places])
+            maybe = np.flatnonzero(table.filter[keys >> np.uint64(64 - _FILTER_BITS)])
+            at = np.searchsorted(table.keys, keys[maybe])
             at[at == len(table.keys)] = 0
-            hit = table.keys[at] == keys[places]
-            froms.append(places[hit])
-            tos.append(places[hit] + length)
+            hit = table.keys[at] == keys[maybe]
+            froms.append(places[maybe[hit]])
+            tos.append(froms[-1] + length)
             pieces.append(table.ids[at[hit]])
+            if length in table.longest:
+                # Of slots that several beginnings share the longest counts, so no piece is lost.
+                further = table.longest[length][keys >> np.uint64(64 - _PREFIX_BITS)] > length
+                reach = table.longest[length][keys[further] >> np.uint64(64 - _PREFIX_BITS)]
+                places = places[further]
+                room[places] = np.minimum(room[places], reach)
         single = np.flatnonzero(inside)
         froms.append(single)
         tos.append(single + 1)
@@ -136,41 +161,38 @@ class Lattice:
         # Node numbers: one more than bytes for each word.
         word_of = np.repeat(np.arange(len(lengths)), lengths)
         self.start = np.concatenate(froms)
-        shift = word_of[self.start]
-        self.end = np.concatenate(tos) + shift
-        self.start = self.start + shift
+        self.word = word_of[self.start]
+        self.end = np.concatenate(tos) + self.word
+        self.start = self.start + self.word
         self.piece = np.concatenate(pieces)
         self.first = self.bounds[:-1] + np.arange(len(lengths))
         self.last = self.bounds[1:] + np.arange(len(lengths))
         self.base = np.repeat(self.first, lengths + 1)
         self.nodes = len(flat) + len(lengths)
 
-    @staticmethod
-    def _levels(depth: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Edges sorted by depth and node, and where each depth begins."""
-        order = np.lexsort((node, depth))
-        sorted_depth = depth[order]
-        return order, np.append(np.flatnonzero(np.diff(sorted_depth, prepend=-1)), len(order))
-
-    @staticmethod
-    def _gather(values: np.ndarray, node: np.ndarray, out: np.ndarray) -> None:
-        """Log-sum the values of each node; equal nodes are neighbours."""
-        begin = np.flatnonzero(np.diff(node, prepend=-1))
-        top = np.maximum.reduceat(values, begin)
-        safe = np.where(np.isfinite(top), top, 0.0)
-        size = np.diff(np.append(begin, len(node)))
-        total = np.add.reduceat(np.exp(values - np.repeat(safe, size)), begin)
-        with np.errstate(divide="ignore"):
-            out[node[begin]] = safe + np.log(total)
+    def _log_sums(self, values: np.ndarray, depth: np.ndarray, node: np.ndarray, other: np.ndarray, weight: np.ndarray) -> None:
+        """Set ``values`` at each node to the log-sum of its edges, ``values`` at their other ends plus ``weight``, by rising depth."""
+        key = depth * self.nodes + node
+        order = _stable_order(key)
+        key, node, other, weight = key[order], node[order], other[order], weight[order]
+        begins = np.flatnonzero(np.diff(key, prepend=-1))
+        sizes = np.diff(np.append(begins, len(key)))
+        levels = np.append(np.flatnonzero(np.diff(key[begins] // self.nodes, prepend=-1)), len(begins))
+        for i, j in zip(levels[:-1], levels[1:]):
+            a, b = begins[i], begins[j - 1] + sizes[j - 1]
+            begin = begins[i:j] - a
+            reached = values[other[a:b]] + weight[a:b]
+            top = np.maximum.reduceat(reached, begin)
+            safe = np.where(np.isfinite(top), top, 0.0)
+            total = np.add.reduceat(np.exp(reached - np.repeat(safe, sizes[i:j])), begin)
+            with np.errstate(divide="ignore"):
+                values[node[begins[i:j]]] = safe + np.log(total)
 
     def forward(self, log_p: np.ndarray) -> np.ndarray:
         """Log probability of reaching each node."""
         alpha = np.full(self.nodes, -np.inf)
         alpha[self.first] = 0.0
-        order, begins = self._levels(self.end - self.base[self.end], self.end)
-        start, end, weight = self.start[order], self.end[order], log_p[self.piece[order]]
-        for a, b in zip(begins[:-1], begins[1:]):
-            self._gather(alpha[start[a:b]] + weight[a:b], end[a:b], alpha)
+        self._log_sums(alpha, self.end - self.base[self.end], self.end, self.start, log_p[self.piece])
         return alpha
 
     def words(self, log_p: np.ndarray) -> np.ndarray:
@@ -182,14 +204,9 @@ class Lattice:
         alpha = self.forward(log_p)
         beta = np.full(self.nodes, -np.inf)
         beta[self.last] = 0.0
-        tail = np.repeat(self.last, np.diff(np.append(self.first, self.nodes)))
-        order, begins = self._levels(tail[self.start] - self.start, self.start)
-        start, end, weight = self.start[order], self.end[order], log_p[self.piece[order]]
-        for a, b in zip(begins[:-1], begins[1:]):
-            self._gather(beta[end[a:b]] + weight[a:b], start[a:b], beta)
-        word = np.searchsorted(self.first, self.start, side="right") - 1
-        share = alpha[self.start] + log_p[self.piece] + beta[self.end] - alpha[self.last][word]
-        return np.bincount(self.piece, np.exp(share) * counts[word], minlength=len(log_p))
+        self._log_sums(beta, self.last[self.word] - self.start, self.start, self.end, log_p[self.piece])
+        share = alpha[self.start] + log_p[self.piece] + beta[self.end] - alpha[self.last][self.word]
+        return np.bincount(self.piece, np.exp(share) * counts[self.word], minlength=len(log_p))
 
 
 def _word_runs(n: int) -> Iterator[slice]:

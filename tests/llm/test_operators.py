@@ -393,6 +393,32 @@ def test_lattice_sums_all_segmentations():
     assert np.isclose((uses * length).sum(), sum(len(("▁" + t).encode()) for t in texts))
 
 
+def test_lattice_edges_are_those_of_all_pieces():
+    """Places are left once no piece goes on from them; no edge is lost by that."""
+    import numpy as np
+    import pyarrow as pa
+
+    vocabulary = load_vocabulary()
+    table = lattice.PieceTable.of(vocabulary)
+    inside = {vocabulary.pieces[i].encode(): i for i in vocabulary.inside_words}
+    for n, longest in table.longest.items():
+        slots = lattice._piece_keys(np.frombuffer("▁international".encode()[:n], np.uint8), n) >> np.uint64(64 - lattice._PREFIX_BITS)
+        assert longest[slots[0]] >= len("▁international".encode())
+    texts = ["internationalization", "the", "zq" * 40, "漢字", "été", "a"]
+    words = words_module.Words(pa.array([" ".join(texts)]))
+    found = lattice.Lattice(words.data, words.starts, words.ends, table)
+    expected, first = Counter(), 0
+    for text in texts:
+        data = ("▁" + text).encode()
+        for i in range(len(data)):
+            expected.update((first + i, first + j, inside[data[i:j]]) for j in range(i + 1, len(data) + 1) if data[i:j] in inside)
+            if i > 2:
+                expected[first + i, first + i + 1, vocabulary.byte_ids[data[i]]] += 1
+        first += len(data) + 1
+    assert Counter(zip(found.start.tolist(), found.end.tolist(), found.piece.tolist())) == expected
+    assert set(table.longest) == {3, 6, 9}
+
+
 @pytest.mark.parametrize("frequent", [0, 3, 1000])
 def test_lattice_counts_and_base(docs, frequent):
     import math
