@@ -47,6 +47,8 @@ HOT_CLASSES = 24
 BLOCK_CLASSES = 4_096
 # Rows of a lookup table (copied sets, groups of several classes) that are sent to every task.
 BROADCAST_ROWS = 100_000
+# Ids of dropped documents that are sent to every task, 8 bytes each; more are joined by a shuffle.
+DROPPED_IDS = 1_000_000
 # Counters that one row of the sketch carries.
 _SKETCH_ROW = 1 << 16
 # Steps for each doubling of a count: 32 doublings fit in 16 bits.
@@ -505,6 +507,11 @@ def ngram_jaccard_join(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
 
 def keep_one_of_each_component(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with the smallest doc_id of each component; rows without doc_id stay. All columns as they were."""
-    kept = ngram_jaccard_join(docs, width, percent).where("doc_id = component_id").select("doc_id").distinct()
-    known = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").select(*docs.columns)
-    return known.unionByName(docs.where("doc_id is null"))
+    joined = ngram_jaccard_join(docs, width, percent).where("doc_id is not null")
+    # An id of several rows stays if one of them does.
+    stays = F.bool_or(F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+    dropped = joined.groupBy("doc_id").agg(stays.alias("stays")).where("not stays").select("doc_id")
+    dropped = keep(dropped, "ngram-dropped")
+    # Few go, so their ids travel and the texts stay where they are.
+    few = dropped.limit(DROPPED_IDS + 1).count() <= DROPPED_IDS
+    return docs.join(F.broadcast(dropped) if few else dropped, "doc_id", "left_anti").select(*docs.columns)

@@ -191,6 +191,25 @@ def test_ngram_join_of_a_chain(spark):
     assert [r.doc_id for r in ngram_join.keep_one_of_each_component(df, 2, 85).collect()] == [0]
 
 
+@pytest.mark.parametrize("sent", [1_000_000, 0])
+def test_texts_stay_where_near_copies_are_dropped(spark, docs, monkeypatch, sent):
+    """Only the ids of dropped rows travel, unless they are many; rows that share an id stay together."""
+    monkeypatch.setattr(ngram_join, "DROPPED_IDS", sent)
+    rows = [*odd_rows(), (40, "", None, None, None, "void"), (40, odd_rows()[0][1], None, None, None, "copy")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    stays = {r.doc_id for r in ngram_join.ngram_jaccard_join(df, 4, 85).collect() if r.doc_id == r.component_id}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = ngram_join.keep_one_of_each_component(df, 4, 85)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        found = Counter((r.doc_id, r.row_id) for r in out.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert found == Counter((r[0], r[5]) for r in rows if r[0] is None or r[0] in stays)
+    assert out.columns == df.columns and 40 in stays
+    assert ("Exchange hashpartitioning" in plan) == (not sent)
+
+
 def test_ngram_join_of_nothing(nothing):
     assert ngram_join.ngram_jaccard_join(nothing).count() == 0
 
