@@ -48,6 +48,8 @@ ROUNDS = 3
 FREQUENT_WORDS = 1 << 17
 # Words a task remembers the probability of, 16 bytes each.
 REMEMBERED_WORDS = 1_000_000
+# Words of several portions that a task holds before it gives them away, counted.
+COUNTED_AT_ONCE = 1_000_000
 # Words that one pass of the recursion takes.
 WORDS_AT_ONCE = 30_000
 # The fold that is held out.
@@ -215,16 +217,38 @@ def _word_runs(n: int) -> Iterator[slice]:
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(hash, n, word) of each portion's distinct words."""
+    """(hash, n, word) of each batch's distinct words; a word of a batch with more than ``COUNTED_AT_ONCE`` may come again.
+
+    Portions are small, as the work arrays take many times a text's bytes; what they find is put together.
+    """
     for batch in batches:
-        for part in portions(batch, "text", 8_000_000):
+        held: list[tuple[np.ndarray, np.ndarray, pa.Array]] = []
+        size = 0
+        for part in portions(batch, "text"):
             words = Words(part.column("text"), lower=True)
             found, first, n = np.unique(words.hashes, return_index=True, return_counts=True)
-            raw = _lowered(words.data)
-            spelled = [raw[a:b].tobytes() for a, b in zip(words.starts[first], words.ends[first])]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(found)), pa.array(n), pa.array(spelled, pa.binary())], names=["h", "n", "word"]
-            )
+            held.append((found, n, _spelled(_lowered(words.data), words.starts[first], words.ends[first])))
+            size += len(found)
+            if size > COUNTED_AT_ONCE:
+                yield _together(held)
+                held, size = [], 0
+        if held:
+            yield _together(held)
+
+
+def _spelled(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The words between the given places of ``raw``."""
+    offsets = np.concatenate([[0], np.cumsum(ends - starts)])
+    places = np.repeat(starts - offsets[:-1], ends - starts) + np.arange(offsets[-1])
+    buffers = [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(raw[places])]
+    return pa.Array.from_buffers(pa.binary(), len(starts), buffers)
+
+
+def _together(held: list[tuple[np.ndarray, np.ndarray, pa.Array]]) -> pa.RecordBatch:
+    found, first, where = np.unique(np.concatenate([h for h, _, _ in held]), return_index=True, return_inverse=True)
+    n = np.bincount(where, np.concatenate([n for _, n, _ in held]), len(found)).astype(np.int64)
+    word = pa.concat_arrays([word for _, _, word in held]).take(pa.array(first))
+    return pa.RecordBatch.from_arrays([pa.array(signed(found)), pa.array(n), word], names=["h", "n", "word"])
 
 
 def _lowered(data: np.ndarray) -> np.ndarray:
@@ -307,9 +331,8 @@ class RememberedWords:
         if len(self.keys) > REMEMBERED_WORDS:
             self.keys, self.values = found, out
         elif len(new):
-            keys, values = np.concatenate([self.keys, found[new]]), np.concatenate([self.values, out[new]])
-            order = np.argsort(keys)
-            self.keys, self.values = keys[order], values[order]
+            at = np.searchsorted(self.keys, found[new])
+            self.keys, self.values = np.insert(self.keys, at, found[new]), np.insert(self.values, at, out[new])
         return out
 
 
@@ -329,7 +352,7 @@ def _score(table: PieceTable, log_p: np.ndarray, train: TrainingCounts):
         next_id = TaskContext.get().partitionId() << 40
         remembered = RememberedWords(table, log_p)
         for batch in batches:
-            for part in portions(batch, "text", 8_000_000):
+            for part in portions(batch, "text"):
                 words = Words(part.column("text"), lower=True)
                 found, first, where = np.unique(words.hashes, return_index=True, return_inverse=True)
                 log_word = remembered.of(found, _lowered(words.data), words.starts[first], words.ends[first])

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import pytest
@@ -471,6 +472,23 @@ def test_lattice_does_not_depend_on_the_frequent_table(docs):
     assert one.keys() == other.keys() and all(abs(one[k] - other[k]) < 1e-9 * (1 + abs(one[k])) for k in one)
 
 
+def test_lattice_counts_a_batch_in_little_memory():
+    """Work arrays stay small however large a batch is, and a word comes once a batch."""
+    import pyarrow as pa
+
+    texts = ["".join(f"W{i * k % 5000} " for i in range(700_000)) for k in (1, 7)] + [None, "", " w1 "]
+    short = [text[i : i + 1_000_000] for text in texts[:2] for i in range(0, 4_000_000, 1_000_000)]
+    tracemalloc.start()
+    list(lattice._count_words(iter([pa.RecordBatch.from_arrays([pa.array(short)], names=["text"])])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 250_000_000
+    (counted,) = lattice._count_words(iter([pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])]))
+    expected = Counter(word for text in texts for word in WORD.findall(lower(text or "")))
+    assert {w.decode(): n for w, n in zip(counted["word"].to_pylist(), counted["n"].to_pylist())} == expected
+    assert counted.num_rows == len(expected)
+
+
 def test_lattice_of_nothing(nothing):
     assert lattice.lattice_scores(nothing, load_vocabulary(), rounds=1).count() == 0
 
