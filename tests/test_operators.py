@@ -13,6 +13,7 @@ from pipecast.config import ForecastConfig
 from pipecast.operators import aggregates, joins, metrics, windows
 from pipecast.plans.features import build_features, snapshot_cells
 from pipecast.plans.slices import SLICES, RunDates, build_slice
+from pipecast.sources.orders_mapping import OrderTables
 from pipecast.sources.readers import Sources
 from pipecast.sources.sinks import run_folder
 
@@ -258,3 +259,25 @@ def test_features_from_stored_sums(spark):
     from_sums = build_features(src, CFG, cells=snapshot_cells(src, CFG), booked=booked)
     assert sorted(map(str, from_sums.collect())) == sorted(map(str, build_features(src, CFG).collect()))
     assert from_sums.count() == 45
+
+
+def test_orders_and_customers_do_not_pass_through_the_driver(spark, tmp_path):
+    """They are joined where they lie, however small the planner takes them; keys may repeat or be missing."""
+    tables = {
+        "region": ([(0, "R0"), (1, "R1")], "r_regionkey long, r_name string"),
+        "nation": ([(0, "N0", 0), (1, "N1", 1)], "n_nationkey long, n_name string, n_regionkey long"),
+        "customer": ([(1, 0), (2, 1), (2, 0), (None, 1), (3, None)], "c_custkey long, c_nationkey long"),
+        "orders": (
+            [(10, 1, datetime(2001, 3, 1)), (11, 2, datetime(2001, 3, 2)), (12, None, datetime(2001, 3, 3)), (13, 3, None)],
+            "o_orderkey long, o_custkey long, o_orderdate timestamp",
+        ),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    orders = OrderTables(spark, str(tmp_path)).orders()
+    plan = orders._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [o_custkey" in plan and "BroadcastHashJoin [o_custkey" not in plan
+    broadcast = [part.split("Scan parquet")[1] for part in plan.split("BroadcastExchange")[1:]]
+    assert not any("c_custkey" in part.split("\n")[0] for part in broadcast)
+    found = sorted((r.o_orderkey, r.n_name, r.r_name) for r in orders.collect())
+    assert found == [(10, "N0", "R0"), (11, "N0", "R0"), (11, "N1", "R1")]
