@@ -77,6 +77,16 @@ def test_walks_by_joins_end_where_the_model_does(train, kind):
     assert met.where(F.abs(F.col("prediction") - F.col("by_walk")) > 1e-9).count() == 0
 
 
+def test_boosting_sends_few_earlier_trees_and_fits_the_same(train):
+    """Trees grown since the last checkpoint travel with every task; how many does not change the model."""
+    rows = cut_lineage(encoded(train).coalesce(2))
+    often = models.gradient_boosting(rounds=4)
+    assert 1 <= often.getCheckpointInterval() <= 2
+    seldom = models.gradient_boosting(rounds=4).setCheckpointInterval(10)
+    found, expected = (tree_tables.node_table(estimator.fit(rows)).orderBy("tree", "node").collect() for estimator in (often, seldom))
+    assert found == expected
+
+
 def test_best_forest_is_the_collapsed_winner(spark, train):
     search = tree_tables.search_forest(train, (2, 3), (2, 20), (3,), folds=2, trees=2, parallelism=2)
     model = tree_tables.fit_best(train, search, "mae", trees=2)
